@@ -28,6 +28,14 @@ def day_of_week(moment: Column, monday_first: bool = False) -> Column:
     return F.weekday(moment) + 1 if monday_first else F.dayofweek(moment)
 
 
+def month(moment: Column) -> Column:
+    return F.month(moment)
+
+
+def year(moment: Column) -> Column:
+    return F.year(moment)
+
+
 def part_of_day(hour: Column) -> Column:
     """Night 1-6, Morning 7-12, Afternoon 13-18, Evening for the rest and for null."""
     return (

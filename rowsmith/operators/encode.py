@@ -15,7 +15,6 @@ from rowsmith.operators.columns import present, quoted
 from rowsmith.operators.counts import CategoryCounts
 from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach
 from rowsmith.operators.ordering import row_numbers
-from rowsmith.storage import materialize
 
 # Up to this many labels are ranked in one task; more are ranked by sorted ranges.
 RANKED_LABELS = 100_000
@@ -122,7 +121,7 @@ def _number_labels(
         numbered = labels.withColumn(index, position)
     else:
         numbered = row_numbers(labels, keys, index)
-    return materialize(numbered.withColumn(index, quoted(index).cast("double")), "label_index")
+    return numbered.withColumn(index, quoted(index).cast("double"))
 
 
 def one_hot(

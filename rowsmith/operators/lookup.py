@@ -54,6 +54,12 @@ class KeyTable:
         size = rows.agg(*cls.size_columns()).first()
         return cls(rows, payload, size["n_keys"], size["n_bytes"], size["total"])
 
+    @classmethod
+    def of_values(cls, values: DataFrame, key: str, payload: tuple[str, ...]) -> KeyTable:
+        """A dictionary table, one row per key, without counts of its own."""
+        rows = values.select(quoted(key).alias("key"), F.lit(1).alias("n"), *payload)
+        return cls.measured(rows, payload)
+
 
 def attach(
     df: DataFrame,
