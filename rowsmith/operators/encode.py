@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from rowsmith.fixed_values import TRUE_TEXTS
 from rowsmith.functions.text import binary_flag
-from rowsmith.operators.columns import present, quoted
+from rowsmith.operators.columns import columns_of_type, present, quoted
 from rowsmith.operators.counts import CategoryCounts
 from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach
 from rowsmith.operators.ordering import row_numbers
@@ -28,6 +29,7 @@ class FrequencyEncoder:
     counts: CategoryCounts
     columns: tuple[str, ...]
     null_policy: str = "drop"
+    unseen_as_zero: bool = False
     broadcast_bytes: int = BROADCAST_BYTES
 
     @classmethod
@@ -37,13 +39,17 @@ class FrequencyEncoder:
         columns: Sequence[str],
         null_policy: str = "drop",
         counts: CategoryCounts | None = None,
+        unseen_as_zero: bool = False,
         broadcast_bytes: int = BROADCAST_BYTES,
     ) -> FrequencyEncoder:
-        """``null_policy``: ``drop`` leaves a null key without a frequency, ``count`` counts it."""
+        """``null_policy``: ``drop`` leaves a null key without a frequency, ``count`` counts it.
+
+        A value that the fitted table lacks gets null, or 0 with ``unseen_as_zero``.
+        """
         if null_policy not in ("drop", "count"):
             raise ValueError(f"unknown null policy {null_policy!r}")
         counts = counts or CategoryCounts.fit(df, columns)
-        return cls(counts, tuple(columns), null_policy, broadcast_bytes)
+        return cls(counts, tuple(columns), null_policy, unseen_as_zero, broadcast_bytes)
 
     def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
         """Add ``<column>_freq`` and drop the column."""
@@ -55,6 +61,10 @@ class FrequencyEncoder:
                 null_safe=self.null_policy == "count",
                 broadcast_bytes=self.broadcast_bytes,
             )
+            if self.unseen_as_zero:
+                is_key = F.lit(True) if self.null_policy == "count" else quoted(c).isNotNull()
+                found = F.coalesce(quoted(f"{c}_freq"), F.when(is_key, F.lit(0)))
+                df = df.withColumn(f"{c}_freq", found)
         return df if keep_source else df.drop(*self.columns)
 
 
@@ -168,5 +178,12 @@ def binary_flags(
 ) -> DataFrame:
     """Add ``<column>_bin`` for the columns the table has, and drop those columns."""
     found = present(df, columns)
-    flagged = df.withColumns({f"{c}_bin": binary_flag(quoted(c), true_texts, trim) for c in found})
+    boolean = set(columns_of_type(df, (BooleanType,))) if "true" in true_texts else set()
+    flags = {
+        f"{c}_bin": F.when(quoted(c), 1).otherwise(0)
+        if c in boolean
+        else binary_flag(quoted(c), true_texts, trim)
+        for c in found
+    }
+    flagged = df.withColumns(flags)
     return flagged if keep_source else flagged.drop(*found)

@@ -16,12 +16,17 @@ from rowsmith.operators.columns import quoted
 from rowsmith.operators.features import assembler, scaler
 
 RAW, SCALED = "features", "scaled_features"
+# Deep trees are grown from a stored node per row and not from the root each time; the
+# trees are the same.
+FOREST_EXECUTION = {"cacheNodeIds": True}
 
 
 def forest(label: str, weight: str | None = None, **settings) -> RandomForestClassifier:
     return _with_weight(
         RandomForestClassifier(
-            featuresCol=SCALED, labelCol=label, **{**FOREST_SETTINGS, **settings}
+            featuresCol=SCALED,
+            labelCol=label,
+            **{**FOREST_EXECUTION, **FOREST_SETTINGS, **settings},
         ),
         weight,
     )

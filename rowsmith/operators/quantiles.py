@@ -1,9 +1,10 @@
 """Exact medians of several columns without bringing their values together.
 
-Each pass counts what lies below and inside a bracket per column and sketches the
-inside on an even grid of ranks; the grid points around the middle become the next,
-far narrower bracket. Passes end once few distinct values are left, and only those
-are ranked. Counts are exact in every pass, so the sketch decides the cost alone.
+Columns with few distinct values are ranked after one cheap counting pass. For the
+others each pass counts what lies below and inside a bracket and sketches the inside on
+an even grid of ranks; the grid points around the middle become the next, far narrower
+bracket. Passes end once few distinct values are left, and only those are ranked. Counts
+are exact in every pass, so the sketch decides the cost alone.
 """
 
 from __future__ import annotations
@@ -56,8 +57,10 @@ def _narrow(
     trial = {c: Bracket() for c in columns}
     margin = dict.fromkeys(columns, 1)
     unsettled = list(columns)
+    sketched = False
     while unsettled:
-        row = numbers.agg(*_bracket_aggregates(trial, unsettled, grid)).first()
+        aggregates = _bracket_aggregates(trial, unsettled, grid if sketched else 0)
+        row = numbers.agg(*aggregates).first()
         for i, c in enumerate(list(unsettled)):
             t = trial[c]
             t.n, t.below, inside = row[f"n{i}"], row[f"below{i}"], row[f"inside{i}"]
@@ -70,13 +73,15 @@ def _narrow(
             settled[c] = t
             if t.n == 0 or t.low == t.high or row[f"distinct{i}"] <= ranked_values:
                 unsettled.remove(c)
-            else:
+            elif sketched:
                 trial[c] = _around_middle(t, inside, row[f"sketch{i}"], margin[c])
+        sketched = True
     return settled
 
 
 def _bracket_aggregates(trial: dict[str, Bracket], columns: Sequence[str], grid: int) -> list:
-    shares = [i / grid for i in range(grid + 1)]
+    """Counts per column and, with a grid, the sketch of the inside."""
+    shares = [i / grid for i in range(grid + 1)] if grid else []
     aggregates = []
     for i, c in enumerate(columns):
         x = quoted(c)
@@ -86,8 +91,10 @@ def _bracket_aggregates(trial: dict[str, Bracket], columns: Sequence[str], grid:
             F.count_if(x < trial[c].low).alias(f"below{i}"),
             F.count(inside).alias(f"inside{i}"),
             F.approx_count_distinct(inside).alias(f"distinct{i}"),
-            F.percentile_approx(inside, shares, SKETCH_ACCURACY).alias(f"sketch{i}"),
         ]
+        if shares:
+            sketch = F.percentile_approx(inside, shares, SKETCH_ACCURACY)
+            aggregates.append(sketch.alias(f"sketch{i}"))
     return aggregates
 
 
@@ -114,7 +121,8 @@ def _rank_inside(numbers: DataFrame, brackets: dict[str, Bracket]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     by_value = Window.partitionBy("feature").orderBy("x")
-    running = counts.withColumn("upto", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
+    running = counts.withColumn("upto", upto)
     targets = numbers.sparkSession.createDataFrame(
         [Row(feature=c, first=b.ranks[0], last=b.ranks[1]) for c, b in brackets.items()],
         "feature string, first long, last long",

@@ -93,7 +93,11 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
         known, fixed.ACCIDENT_INDEXED, options.index_order, counts=counts
     )
     frequency = encode.FrequencyEncoder.fit(
-        known, fixed.ACCIDENT_FREQUENCY, options.null_policy, counts=counts
+        known,
+        fixed.ACCIDENT_FREQUENCY,
+        options.null_policy,
+        counts=counts,
+        unseen_as_zero=options.fit_on == "train",
     )
     encoded = frequency.transform(indexer.transform(fill.transform(marked)))
     if options.one_hot:

@@ -9,6 +9,9 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM interprets methods above 8000 bytes. Wide projections generate such methods
+    # unless Spark is told to split them, and then run several times slower.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
