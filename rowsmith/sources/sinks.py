@@ -14,6 +14,10 @@ def metric_lines(metrics: DataFrame) -> DataFrame:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Write the metric table as Parquet and as text lines below ``path``."""
+    """Write the metric table as Parquet and as text lines below ``path``.
+
+    The lines come from the written table, so that the metrics are computed once.
+    """
     metrics.write.parquet(f"{path}/table")
-    metric_lines(metrics).write.text(f"{path}/lines")
+    written = metrics.sparkSession.read.schema(metrics.schema).parquet(f"{path}/table")
+    metric_lines(written).write.text(f"{path}/lines")
