@@ -25,11 +25,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     accidents = jobs.add_parser("severity")
     accidents.add_argument("accidents")
     accidents.add_argument("output")
-    accidents.add_argument("--hour-base", type=int, default=0, choices=(0, 1))
-    accidents.add_argument("--weather-match", default="last", choices=("last", "first"))
-    accidents.add_argument("--numeric-fill", default="mean", choices=("mean", "median"))
-    accidents.add_argument("--fit-on", default="all", choices=("all", "train"))
-    accidents.add_argument("--split", default="stratified", choices=("stratified", "random"))
+    accidents.add_argument("--variant", default="cluster", choices=sorted(severity.VARIANTS))
     attacks = jobs.add_parser("intrusion")
     attacks.add_argument("train")
     attacks.add_argument("test")
@@ -45,13 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     arguments = _arguments(argv)
     spark = build_session(f"rowsmith-{arguments.job}", arguments.master)
     if arguments.job == "severity":
-        options = severity.SeverityOptions(
-            hour_base=arguments.hour_base,
-            weather_match=arguments.weather_match,
-            numeric_fill=arguments.numeric_fill,
-            fit_on=arguments.fit_on,
-            split=arguments.split,
-        )
+        options = severity.VARIANTS[arguments.variant]
         accidents = read_delimited(spark, arguments.accidents, ACCIDENT_SCHEMA)
         write_metrics(severity.run(accidents, options), arguments.output)
     elif arguments.job == "intrusion":

@@ -14,7 +14,7 @@ from rowsmith.fixed_values import TRUE_TEXTS
 from rowsmith.functions.text import binary_flag
 from rowsmith.operators.columns import columns_of_type, present, quoted
 from rowsmith.operators.counts import CategoryCounts
-from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach
+from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach, broadcastable
 from rowsmith.operators.ordering import row_numbers
 
 # Up to this many labels are ranked in one task; more are ranked by sorted ranges.
@@ -53,13 +53,15 @@ class FrequencyEncoder:
 
     def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
         """Add ``<column>_freq`` and drop the column."""
+        sizes = {c: self.counts.sizes[c]["n_bytes"] for c in self.columns}
+        small = broadcastable(sizes, self.broadcast_bytes)
         for c in self.columns:
             df = attach(
                 df,
                 quoted(c).cast("string"),
                 self.counts.key_table(c, f"{c}_freq"),
                 null_safe=self.null_policy == "count",
-                broadcast_bytes=self.broadcast_bytes,
+                broadcast_bytes=self.broadcast_bytes if c in small else 0,
             )
             if self.unseen_as_zero:
                 is_key = F.lit(True) if self.null_policy == "count" else quoted(c).isNotNull()
@@ -108,10 +110,11 @@ class LabelIndexer:
 
     def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
         """Add ``<column>_idx`` as double and drop the column."""
+        sizes = {c: table.n_bytes for c, table in self.tables.items()}
+        small = broadcastable(sizes, self.broadcast_bytes)
         for c, table in self.tables.items():
-            df = attach(
-                df, quoted(c).cast("string"), table, broadcast_bytes=self.broadcast_bytes
-            )
+            limit = self.broadcast_bytes if c in small else 0
+            df = attach(df, quoted(c).cast("string"), table, broadcast_bytes=limit)
             index = quoted(f"{c}_idx")
             if self.handle_invalid == "keep":
                 kept = F.coalesce(index, F.lit(float(self.n_labels[c])))

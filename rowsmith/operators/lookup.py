@@ -1,7 +1,8 @@
 """Left join of a large table to a table of per-key values.
 
 The per-key table is measured before it is joined. Up to ``broadcast_bytes`` it is
-broadcast and the large side stays where it is. Beyond that the join shuffles: keys
+broadcast and the large side stays where it is; an encoder of several columns shares one
+such budget among them. Beyond that the join shuffles: keys
 that hold a large share of the rows are answered from a broadcast of those few keys
 and their rows are spread, so that no key decides the size of a task.
 """
@@ -61,6 +62,17 @@ class KeyTable:
         return cls.measured(rows, payload)
 
 
+def broadcastable(sizes: dict[str, int], budget: int = BROADCAST_BYTES) -> set[str]:
+    """Names of the tables, smallest first, whose sizes together stay within the budget."""
+    chosen = set()
+    for name in sorted(sizes, key=sizes.__getitem__):
+        if sizes[name] > budget:
+            break
+        budget -= sizes[name]
+        chosen.add(name)
+    return chosen
+
+
 def attach(
     df: DataFrame,
     key: Column,

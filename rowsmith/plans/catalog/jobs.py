@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rowsmith.fixed_values import ACCIDENT_SCHEMA
 from rowsmith.operators import metrics, models, split
 from rowsmith.plans import intrusion, severity
 from rowsmith.plans.catalog.registry import query, table
-from rowsmith.sources.delimited import write_delimited
+from rowsmith.sources.delimited import read_delimited, write_delimited
 from rowsmith.sources.derived import accident_records, intrusion_records
-from rowsmith.storage import materialize, scratch_path
+from rowsmith.storage import scratch_path
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -55,9 +56,6 @@ def _accidents(spark, folder):
     records = accident_records(table(spark, folder, "events"))
     path = scratch_path(spark, "accidents_csv")
     write_delimited(records, path)
-    from rowsmith.fixed_values import ACCIDENT_SCHEMA
-    from rowsmith.sources.delimited import read_delimited
-
     return read_delimited(spark, path, ACCIDENT_SCHEMA)
 
 
@@ -66,19 +64,15 @@ def severity_job(spark, folder):
     return severity.run(_accidents(spark, folder))
 
 
-@query("severity_job_variant")
-def severity_job_variant(spark, folder):
+@query("severity_job_single_machine")
+def severity_job_single_machine(spark, folder):
+    return severity.run(_accidents(spark, folder), severity.VARIANTS["single_machine"])
+
+
+@query("severity_job_fitted_on_train")
+def severity_job_fitted_on_train(spark, folder):
     options = severity.SeverityOptions(
-        hour_base=1,
-        monday_first=True,
-        weather_match="first",
-        numeric_fill="median",
-        index_order="alphabet",
-        null_policy="count",
-        one_hot=True,
-        fit_on="train",
-        split="random",
-        class_weights=True,
+        null_policy="count", fit_on="train", split="random", class_weights=True
     )
     return severity.run(_accidents(spark, folder), options)
 

@@ -98,7 +98,7 @@ def _rounded(df):
 )
 def accident_cleaning(spark, folder):
     records = accident_records(table(spark, folder, "events"))
-    return _rounded(severity.clean(records, severity.SeverityOptions(one_hot=True)))
+    return _rounded(severity.clean(records, severity.SeverityOptions(small_categories="one_hot")))
 
 
 def _mean_filled(name: str) -> str:

@@ -24,12 +24,15 @@ class SeverityOptions:
 
     hour_base: int = 0
     monday_first: bool = False
+    binned_day: bool = False
     weather_match: str = "last"
     numeric_fill: str = "mean"
     index_order: str = "frequency"
     text_filled: tuple[str, ...] = tuple(fixed.ACCIDENT_TEXT)
     null_policy: str = "drop"
-    one_hot: bool = False
+    trim_flags: bool = False
+    small_categories: str = "drop"
+    all_features: bool = False
     fit_on: str = "all"
     split: str = "stratified"
     class_weights: bool = False
@@ -37,7 +40,44 @@ class SeverityOptions:
     logistic: tuple[tuple[str, object], ...] = ()
 
 
+    def __post_init__(self) -> None:
+        allowed = {
+            "weather_match": ("last", "first"),
+            "numeric_fill": ("mean", "median"),
+            "small_categories": ("drop", "one_hot", "index"),
+            "fit_on": ("all", "train"),
+            "split": ("stratified", "random"),
+        }
+        for name, values in allowed.items():
+            if getattr(self, name) not in values:
+                raise ValueError(f"{name} must be one of {values}")
+
+
 DEFAULTS = SeverityOptions()
+VARIANTS = {
+    "cluster": DEFAULTS,
+    "notebook": SeverityOptions(hour_base=1, text_filled=tuple(fixed.ACCIDENT_TEXT_SHORT)),
+    "single_machine": SeverityOptions(
+        monday_first=True,
+        binned_day=True,
+        weather_match="first",
+        numeric_fill="median",
+        index_order="alphabet",
+        text_filled=tuple(fixed.ACCIDENT_TEXT_SHORT),
+        trim_flags=True,
+        small_categories="one_hot",
+        all_features=True,
+    ),
+    "single_machine_short": SeverityOptions(
+        hour_base=1,
+        monday_first=True,
+        weather_match="first",
+        index_order="alphabet",
+        text_filled=tuple(fixed.ACCIDENT_TEXT_SHORT),
+        small_categories="index",
+        all_features=True,
+    ),
+}
 SPLIT = "split"
 
 
@@ -62,13 +102,18 @@ def clean(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataFram
         Month=dates.month(moment),
         Year=dates.year(moment),
     )
-    parted = cols.derive(
-        dated, Part_of_Day=dates.part_of_day(hour), Sunrise_Sunset=dates.day_flag(hour)
-    )
-    filled = fill_text(parted.drop("Start_Time"), options.text_filled)
-    flagged = encode.binary_flags(filled, fixed.ACCIDENT_FLAGS)
-    left_out = ["Timezone", "Weather_Condition"] if not options.one_hot else []
-    return flagged.drop(*left_out)
+    if options.binned_day:
+        part, flag = dates.part_of_day_bins(hour), dates.day_flag(hour, None)
+    else:
+        part, flag = dates.part_of_day(hour), dates.day_flag(hour)
+    parted = cols.derive(dated, Part_of_Day=part, Sunrise_Sunset=flag).drop("Start_Time")
+    filled = fill_text(parted, options.text_filled)
+    flagged = encode.binary_flags(filled, fixed.ACCIDENT_FLAGS, trim=options.trim_flags)
+    if options.small_categories == "drop":
+        return flagged.drop(*fixed.ACCIDENT_ONE_HOT)
+    if options.small_categories == "index":
+        return fill_text(flagged, fixed.ACCIDENT_ONE_HOT)
+    return flagged
 
 
 def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataFrame:
@@ -82,16 +127,15 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
         marked = split.stratified_split(cleaned, fixed.ACCIDENT_LABEL, "ID", name=SPLIT)
     else:
         marked = split.random_split(cleaned, "ID", name=SPLIT)
-    known = marked if options.fit_on == "all" else marked.filter(quoted(SPLIT) == split.TRAIN)
+    known = cleaned if options.fit_on == "all" else marked.filter(quoted(SPLIT) == split.TRAIN)
 
     fill = NumericFill.fit(known, fixed.ACCIDENT_NUMERIC, options.numeric_fill)
-    categories = fixed.ACCIDENT_INDEXED + fixed.ACCIDENT_FREQUENCY
-    if options.one_hot:
-        categories = categories + fixed.ACCIDENT_ONE_HOT
-    counts = CategoryCounts.fit(known, categories)
-    indexer = encode.LabelIndexer.fit(
-        known, fixed.ACCIDENT_INDEXED, options.index_order, counts=counts
+    small = fixed.ACCIDENT_ONE_HOT if options.small_categories != "drop" else []
+    indexed = fixed.ACCIDENT_INDEXED + (small if options.small_categories == "index" else [])
+    counts = CategoryCounts.fit(
+        known, fixed.ACCIDENT_INDEXED + fixed.ACCIDENT_FREQUENCY + small
     )
+    indexer = encode.LabelIndexer.fit(known, indexed, options.index_order, counts=counts)
     frequency = encode.FrequencyEncoder.fit(
         known,
         fixed.ACCIDENT_FREQUENCY,
@@ -100,22 +144,30 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
         unseen_as_zero=options.fit_on == "train",
     )
     encoded = frequency.transform(indexer.transform(fill.transform(marked)))
-    if options.one_hot:
+    if options.small_categories == "one_hot":
         encoded = encode.one_hot(encoded, fixed.ACCIDENT_ONE_HOT, counts)
     selected = cols.drop_columns(encoded, fixed.ACCIDENT_LOW_CORRELATION)
     return materialize(selected.drop("ID"), "accident_features")
 
 
+def feature_names(table: DataFrame, options: SeverityOptions = DEFAULTS) -> list[str]:
+    """The listed features, or every column but the label and the split mark."""
+    if options.all_features:
+        return [c for c in table.columns if c not in (fixed.ACCIDENT_LABEL, SPLIT)]
+    return cols.present(table, fixed.ACCIDENT_FEATURES)
+
+
 def train_models(
     table: DataFrame, options: SeverityOptions = DEFAULTS
 ) -> tuple[PipelineModel, dict, DataFrame]:
     """Fitted preparation, fitted models by name, and the prepared test rows."""
     train, test = split.parts(table, SPLIT)
+    names = feature_names(table, options)
     weight = None
     if options.class_weights:
         weight = "class_weight"
         train = with_class_weight(train, fixed.ACCIDENT_LABEL, weight)
-    preparation = models.fit_preparation(train, fixed.ACCIDENT_FEATURES)
+    preparation = models.fit_preparation(train, names)
     ready = preparation.transform(train)
     estimators = {
         "RandomForest": models.forest(fixed.ACCIDENT_LABEL, weight, **dict(options.forest)),

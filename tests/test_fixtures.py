@@ -10,7 +10,7 @@ from rowsmith.functions import dates, numbers, text
 from rowsmith.operators import columns as cols
 from rowsmith.operators import correlate, counts, encode, features, filters, metrics
 from rowsmith.operators import missing, models, ordering, quantiles, split
-from rowsmith.operators.lookup import KeyTable, attach
+from rowsmith.operators.lookup import KeyTable, attach, broadcastable
 
 
 def one(df, column, order="id"):
@@ -367,6 +367,11 @@ def test_single_valued_columns(spark):
     assert {tuple(r) for r in approximate.collect()} == {("c", 1), ("d", 2)}
 
 
+def test_broadcast_budget_is_shared():
+    assert broadcastable({"a": 60, "b": 50, "c": 10}, 100) == {"b", "c"}
+    assert broadcastable({"a": 60}, 0) == set()
+
+
 def test_dictionary_lookup_beyond_broadcast(spark):
     words = spark.range(1000).select(F.col("id").cast("string").alias("w"), (F.col("id") * 2).alias("v"))
     dictionary = KeyTable.of_values(words, "w", ("v",))

@@ -1,5 +1,7 @@
 """Both jobs from end to end on derived records."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,18 +57,56 @@ def test_severity_models_learn(table):
     assert scores["LogisticRegression"] > 0.65
 
 
-def test_severity_variant(accidents):
+SMALL_MODELS = {
+    "forest": (("numTrees", 3), ("maxDepth", 5)),
+    "logistic": (("maxIter", 5),),
+}
+
+
+@pytest.mark.parametrize("name", ["notebook", "single_machine", "single_machine_short"])
+def test_severity_variants(accidents, name):
+    options = replace(severity.VARIANTS[name], **SMALL_MODELS)
+    metrics = severity.run(accidents, options)
+    assert metrics.count() == 6
+    assert metrics.filter("value > 0.3").count() == 6
+
+
+def test_variant_features(accidents):
+    table = severity.features(accidents, severity.VARIANTS["single_machine"])
+    names = severity.feature_names(table, severity.VARIANTS["single_machine"])
+    assert {"Weather_Condition_Unknown", "Timezone_US/Pacific", "Part_of_Day_idx"} <= set(names)
+    assert "Weather_Condition_Heavy_Rain" not in names
+    assert {"Severity", "split", "ID", "Day"}.isdisjoint(names)
+    short = severity.features(accidents, severity.VARIANTS["single_machine_short"])
+    assert {"Weather_Condition_idx", "Timezone_idx"} <= set(short.columns)
+    assert short.filter("Timezone_idx is null").count() == 0
+    assert short.filter("County_freq is null").count() == accidents.filter("County is null").count()
+
+
+def test_unknown_options_are_rejected():
+    with pytest.raises(ValueError):
+        severity.SeverityOptions(weather_match="both")
+
+
+def test_weighted_models_fitted_on_train(accidents):
     options = severity.SeverityOptions(
-        hour_base=1, monday_first=True, weather_match="first", numeric_fill="median",
-        index_order="alphabet", text_filled=tuple(fixed.ACCIDENT_TEXT_SHORT), null_policy="count",
-        one_hot=True, fit_on="train", split="random", class_weights=True,
-        forest=(("numTrees", 3), ("maxDepth", 5)), logistic=(("maxIter", 5),),
+        null_policy="count", fit_on="train", split="random", class_weights=True, **SMALL_MODELS
     )
     metrics = severity.run(accidents, options)
-    assert metrics.count() == 6
     assert metrics.filter("value > 0.3").count() == 6
 
 
+def test_command_line(spark, accidents, tmp_path):
+    from rowsmith.__main__ import main
+
+    accidents.write.csv(str(tmp_path / "accidents"), header=True)
+    main(["severity", str(tmp_path / "accidents"), str(tmp_path / "out"), "--variant", "notebook"])
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "out" / "lines")).collect()]
+    assert len(lines) == 6 and any(line.startswith("RandomForest accuracy: 0.") for line in lines)
+    main(["readings", "500", str(tmp_path / "readings")])
+    assert spark.read.parquet(str(tmp_path / "readings" / "totals")).count() == 70
+
+
 def test_train_statistics_do_not_see_the_test_rows(accidents):
     options = severity.SeverityOptions(fit_on="train")
     table = severity.features(accidents, options)
