@@ -10,8 +10,6 @@ import json
 import os
 import time
 
-from pyspark.sql import functions as F
-
 from rowsmith import build_session
 from rowsmith import fixed_values as fixed
 from rowsmith.functions import dates, text
@@ -138,8 +136,7 @@ def bench_severity(spark, events, timer: Timer) -> int:
 
 def bench_intrusion(spark, events, timer: Timer) -> None:
     records = materialize(intrusion_records(events.repartition(4 * CPUS)), "bench_intrusions")
-    train = records.filter(F.col("row_id") % 10 < 7).drop("row_id")
-    test = records.filter(F.col("row_id") % 10 >= 7).drop("row_id")
+    train, test = (p.drop("row_id") for p in split.parts(split.random_split(records, "row_id")))
     timer.run("intrusion_job", lambda: intrusion.run(train, test).first())
 
 

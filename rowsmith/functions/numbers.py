@@ -11,8 +11,7 @@ HASH_RANGE = 16**HASH_DIGITS
 
 def as_double(value: Column) -> Column:
     """Double, with NaN turned into null so that it cannot spread through an average."""
-    number = value.cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
 def null_infinite(value: Column) -> Column:

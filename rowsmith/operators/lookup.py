@@ -99,8 +99,11 @@ def _attach_shuffled(df: DataFrame, key: Column, table: KeyTable, null_safe: boo
         F.lit(True).alias(_HOT),
         *[F.col(p).alias(new) for p, new in names.items()],
     )
+    # Always 0, but taken from a column: a literal would be folded out of the join key
+    # and the salt would no longer decide where a row goes.
+    zero = F.least(F.col("n"), F.lit(0)).cast("int")
     cold = table.rows.filter(~is_hot).select(
-        F.col("key").alias(_KEY), F.lit(0).alias(f"{_SALT}_cold"), *table.payload
+        F.col("key").alias(_KEY), zero.alias(f"{_SALT}_cold"), *table.payload
     )
     # The hash of the row, unlike a random number, sends a row to the same place when
     # a lost task runs again.

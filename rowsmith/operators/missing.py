@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.fixed_values import UNKNOWN
 from rowsmith.functions.numbers import as_double
-from rowsmith.operators.columns import quoted
+from rowsmith.operators.columns import present, quoted
 from rowsmith.operators.quantiles import medians
 
 
@@ -60,11 +60,9 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_text(df: DataFrame, columns: Iterable[str], value: str = UNKNOWN) -> DataFrame:
-    """Fill nulls of text columns; names the table lacks are ignored."""
-    available = set(df.columns)
-    return df.withColumns(
-        {c: F.coalesce(quoted(c), F.lit(value)) for c in columns if c in available}
-    )
+    """Fill nulls with a text; the columns become text, names the table lacks are ignored."""
+    found = present(df, columns)
+    return df.withColumns({c: F.coalesce(quoted(c).cast("string"), F.lit(value)) for c in found})
 
 
 def replace_nan_text(df: DataFrame, columns: Sequence[str], value: str = UNKNOWN) -> DataFrame:

@@ -58,15 +58,20 @@ def split_class_counts(spark, folder):
 
 @query(
     "scale_with_train_statistics",
-    """with train as (select avg(o_totalprice) m, stddev_samp(o_totalprice) s from orders
-                   where o_orderkey % 10 < 7)
-    select o_orderkey, round((o_totalprice - m) / s, 6) as o_totalprice
-    from orders, train where o_orderkey % 10 >= 7""",
+    """with marked as (
+        select o_orderkey, o_totalprice,
+               case when substr(md5('42:' || o_orderkey::varchar), 1, 8) < 'b3333333'
+               then 'train' else 'test' end as split from orders),
+    train as (select avg(o_totalprice) m, stddev_samp(o_totalprice) s from marked
+              where split = 'train')
+    select o_orderkey, split, round((o_totalprice - m) / s, 6) as o_totalprice
+    from marked, train""",
 )
 def scale_with_train_statistics(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    train, test = rows.filter("o_orderkey % 10 < 7"), rows.filter("o_orderkey % 10 >= 7")
-    scaled = features.ColumnScaler.fit(train, ["o_totalprice"]).transform(test)
+    marked = split.random_split(rows, "o_orderkey")
+    train, _ = split.parts(marked)
+    scaled = features.ColumnScaler.fit(train, ["o_totalprice"]).transform(marked)
     return scaled.withColumn("o_totalprice", F.round("o_totalprice", 6))
 
 

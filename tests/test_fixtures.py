@@ -105,14 +105,48 @@ def test_frequency_of_unseen_value(spark):
         assert one(encoder.transform(with_null), "c_freq") == expected
 
 
-def test_frequency_of_hot_key(spark):
-    """A key with a third of the rows, one task per key impossible, no broadcast of the table."""
+@pytest.fixture
+def shuffled_joins(spark):
+    """Let no join be turned into a broadcast and no shuffle partitions be merged."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("policy", ["drop", "count"])
+def test_frequency_of_hot_key(spark, shuffled_joins, policy):
+    """A third of the rows share one key and others have none; no partition is much larger."""
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500 + 1)
     df = spark.range(30_000).select("id", F.when(F.col("id") % 7 != 0, key).alias("k"))
-    wide = encode.FrequencyEncoder.fit(df, ["k"], broadcast_bytes=2**20).transform(df)
-    spread = encode.FrequencyEncoder.fit(df, ["k"], broadcast_bytes=0).transform(df)
+    wide = encode.FrequencyEncoder.fit(df, ["k"], policy, broadcast_bytes=2**20).transform(df)
+    spread = encode.FrequencyEncoder.fit(df, ["k"], policy, broadcast_bytes=0).transform(df)
+    assert "SortMergeJoin" in spread._jdf.queryExecution().executedPlan().toString()
     assert spread.count() == 30_000
     assert wide.exceptAll(spread).count() == 0
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * 30_000 / 8
+
+
+def test_shuffled_split_and_index(spark, shuffled_joins):
+    df = spark.range(6_000).withColumn("label", F.concat(F.lit("L"), F.pmod(F.hash("id"), F.lit(40))))
+    marks = [
+        split.stratified_split(df, "label", "id", broadcast_bytes=size, boundary_rows=rows)
+        for size, rows in ((2**20, 100_000), (0, 3))
+    ]
+    assert marks[0].exceptAll(marks[1]).count() == 0
+    indexed = [
+        encode.LabelIndexer.fit(df, ["label"], ranked_labels=n, broadcast_bytes=size).transform(df)
+        for n, size in ((100, 2**20), (0, 0))
+    ]
+    assert indexed[0].exceptAll(indexed[1]).count() == 0
+    assert indexed[1].count() == 6_000
 
 
 @pytest.mark.parametrize("ranked_labels", [0, 100])

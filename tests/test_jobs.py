@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowsmith import fixed_values as fixed
 from rowsmith.operators import split
 from rowsmith.plans import intrusion, severity
+from rowsmith.sources.delimited import read_delimited
 from rowsmith.sources.derived import accident_records, intrusion_records
 
 
@@ -38,6 +39,18 @@ def test_features(accidents, table):
     assert {c: n for c, n in nulls.items() if n} == dict.fromkeys(["Hour", "Month", "Year"], bad_times)
 
 
+def test_inferred_types_give_the_same_rows(spark, accidents, tmp_path):
+    accidents.write.csv(str(tmp_path / "a"), header=True)
+    declared = severity.clean(read_delimited(spark, str(tmp_path / "a"), fixed.ACCIDENT_SCHEMA))
+    good = accidents.filter("Start_Time <> 'bad'")
+    good.write.csv(str(tmp_path / "b"), header=True)
+    raw = read_delimited(spark, str(tmp_path / "b"))
+    assert dict(raw.dtypes)["Start_Time"].startswith("timestamp")
+    inferred = severity.clean(raw)
+    assert inferred.exceptAll(declared.select(inferred.columns)).count() == 0
+    assert severity.clean(accidents).exceptAll(declared).count() == 0
+
+
 def test_split_is_exact(table):
     rows = table.groupBy("Severity").agg(
         F.count_if(F.col("split") == "train").alias("train"), F.count("*").alias("n")
