@@ -1,4 +1,4 @@
-"""Delimited files: each query writes a table of the folder and scans it back."""
+"""Generated rows, and delimited files: a table of the folder written and scanned back."""
 
 from __future__ import annotations
 
@@ -7,8 +7,23 @@ from pyspark.sql import functions as F
 from rowsmith.operators.columns import cast_to_double
 from rowsmith.plans.catalog.registry import query, table
 from rowsmith.sources.delimited import read_delimited, read_headerless, write_delimited
+from rowsmith.sources.generated import number_range
 from rowsmith.storage import scratch_path
 
+@query(
+    "number_range",
+    """select x, x * 2 as doubled, x % 2 = 0 as even
+    from (select unnest(range((select count(*) from orders))) as x)""",
+)
+def numbers(spark, folder):
+    """As many numbers as there are orders, generated on the executors."""
+    n = table(spark, folder, "orders").count()
+    x = F.col("x")
+    return number_range(spark, 0, n).select(
+        "x", (x * 2).alias("doubled"), (x % 2 == 0).alias("even")
+    )
+
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 ORDERS_SQL = f"select {', '.join(ORDER_COLUMNS)} from orders"
 

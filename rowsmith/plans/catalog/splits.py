@@ -64,7 +64,7 @@ def split_class_counts(spark, folder):
                then 'train' else 'test' end as split from orders),
     train as (select avg(o_totalprice) m, stddev_samp(o_totalprice) s from marked
               where split = 'train')
-    select o_orderkey, split, round((o_totalprice - m) / s, 6) as o_totalprice
+    select o_orderkey, split, round((o_totalprice - m) / s, 6) + 0.0::double as o_totalprice
     from marked, train""",
 )
 def scale_with_train_statistics(spark, folder):
@@ -106,7 +106,8 @@ def assemble_skip(spark, folder):
 
 def _scaled_sql(spread: str) -> str:
     statistics = ", ".join(f"avg({c}) as m_{c}, {spread}({c}) as s_{c}" for c in NUMBERS)
-    scaled = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) as {c}" for c in NUMBERS)
+    # Adding zero turns the negative zero that round() may give into zero.
+    scaled = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) + 0.0::double as {c}" for c in NUMBERS)
     return f"""with statistics as (select {statistics} from lineitem)
     select {", ".join(KEYS)}, {scaled} from lineitem, statistics"""
 
