@@ -82,7 +82,9 @@ def attach(
 ) -> DataFrame:
     """Add the payload of ``table`` to each row of ``df``; null where the key is unknown.
 
-    A null key finds nothing unless ``null_safe``, which lets it match a null key.
+    A null key finds nothing unless ``null_safe``, which lets it match a null key. Hot keys
+    are those of the data the table was counted on; a key that is hot in ``df`` alone is left
+    to Spark's own skew join.
     """
     values = table.rows.select(F.col("key").alias(_KEY), *table.payload)
     if table.n_bytes <= broadcast_bytes:
@@ -108,7 +110,9 @@ def _attach_shuffled(df: DataFrame, key: Column, table: KeyTable, null_safe: boo
     # The hash of the row, unlike a random number, sends a row to the same place when
     # a lost task runs again.
     row_hash = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SPREAD)).cast("int")
-    answered = F.col(_HOT).isNotNull() | key.isNull() if not null_safe else F.col(_HOT).isNotNull()
+    answered = F.col(_HOT).isNotNull()
+    if not null_safe:
+        answered = answered | key.isNull()
     marked = (
         df.join(F.broadcast(hot), _matches(key, F.col(_KEY), null_safe), "left")
         .drop(_KEY)

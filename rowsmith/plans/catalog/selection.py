@@ -15,7 +15,8 @@ CORRELATIONS = """
         select l_extendedprice as y, l_quantity, nullif(l_discount, 0.0) as l_discount,
                nullif(l_tax, 0.0) as l_tax, l_partkey, l_linenumber from lineitem),
     correlations as (
-        select 'l_quantity' as feature, round(corr(l_quantity, y), 6) + 0.0::double as correlation from planted
+        select 'l_quantity' as feature,
+               round(corr(l_quantity, y), 6) + 0.0::double as correlation from planted
         union all select 'l_discount', round(corr(l_discount, y), 6) + 0.0::double from planted
         union all select 'l_tax', round(corr(l_tax, y), 6) + 0.0::double from planted
         union all select 'l_partkey', round(corr(l_partkey, y), 6) + 0.0::double from planted
@@ -50,7 +51,8 @@ def label_correlation(spark, folder):
     "label_correlation_zero_filled",
     """with planted as (select l_extendedprice as y, l_quantity, l_discount from lineitem)
     select 'l_quantity' as feature,
-           round(corr(case when l_quantity > 10 then l_quantity else 0 end, y), 6) + 0.0::double as correlation
+           round(corr(case when l_quantity > 10 then l_quantity else 0 end, y), 6)
+               + 0.0::double as correlation
     from planted
     union all select 'l_discount', round(corr(l_discount, y), 6) + 0.0::double from planted""",
 )

@@ -53,6 +53,8 @@ def accident_records(events: DataFrame, copies: int = 1) -> DataFrame:
     """Accident records with nulls and unreadable times planted."""
     row = F.col("row_id")
     text_time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    long_time = F.concat(text_time, F.lit(".000000000"))
+    start_time = F.when(row % 2 == 0, long_time).otherwise(text_time)
     temperature = _step(row, 31, 1000) / F.lit(10.0)
     wind_speed = _step(row, 41, 300) / F.lit(10.0)
     signal = row % FLAG_PERIODS["Traffic_Signal"] == 0
@@ -66,8 +68,7 @@ def accident_records(events: DataFrame, copies: int = 1) -> DataFrame:
         "ID": _named("A-", row),
         "Source": F.lit("Source1"),
         "Severity": severity,
-        "Start_Time": F.when(row % 97 == 0, F.lit("bad"))
-        .when(row % 89 != 0, F.when(row % 2 == 0, F.concat(text_time, F.lit(".000000000"))).otherwise(text_time)),
+        "Start_Time": F.when(row % 97 == 0, F.lit("bad")).when(row % 89 != 0, start_time),
         "End_Time": text_time,
         "Start_Lat": 25 + _step(row, 37, 2400) / F.lit(100.0),
         "Start_Lng": _step(row, 53, 5700) / F.lit(100.0) - 124,

@@ -15,7 +15,8 @@ from rowsmith.sources.derived import accident_records, intrusion_records
 @pytest.fixture(scope="module")
 def accidents(spark):
     events = spark.range(4000).selectExpr(
-        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 17 * cast(id as int)) as ts"
+        "id as event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 17 * cast(id as int)) as ts",
     )
     return accident_records(events)
 
@@ -34,7 +35,8 @@ def test_features(accidents, table):
     assert not set(fixed.ACCIDENT_LOW_CORRELATION) & set(table.columns)
     assert not set(fixed.ACCIDENT_UNUSED) & set(table.columns)
     assert table.count() == 4000
-    nulls = table.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in table.columns]).first().asDict()
+    null_counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in table.columns]
+    nulls = table.agg(*null_counts).first().asDict()
     bad_times = accidents.filter("Start_Time is null or Start_Time = 'bad'").count()
     assert {c: n for c, n in nulls.items() if n} == dict.fromkeys(["Hour", "Month", "Year"], bad_times)
 
