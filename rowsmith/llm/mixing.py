@@ -26,6 +26,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 20_240_601
 _BUCKET_BITS = 12
+_TURN_BITS = 60
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -84,12 +85,13 @@ def _exceeds(room: Column, left: int, shares: int) -> Column:
 
 
 def _turn(doc_id: Column, seed: int) -> Column:
-    """Where a document stands in the order of its source: a hash of its id, not negative."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id.cast("string")), 1)
+    """Where a document stands in the order of its source: a hash of its id, 60 bits, not negative."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, _TURN_BITS // 4), 16, 10).cast("long")
 
 
 def _bucket(level: int) -> Column:
-    return F.shiftright("turn", 63 - _BUCKET_BITS * level).bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1))
+    return F.shiftright("turn", _TURN_BITS - _BUCKET_BITS * level).bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1))
 
 
 def sampling_plan(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import mixing, simhash, url_filter
+from rowsmith.llm import chat, decontaminate, licenses, line_dedup, line_rules, mixing, simhash, url_filter
 from rowsmith.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,20 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.sample(own, plan, F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+ESCAPE_PROBE = "\\### Assistant: </turn> ok"
+
+
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each conversation, read back from its rendering and its loss mask."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", ESCAPE_PROBE), (-7, 1, "assistant", ESCAPE_PROBE)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat.format_conversations(turns.union(probe))
+
+
 @query
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Rule and verdict of each page."""
@@ -36,3 +50,28 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of each document."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of each document."""
+    found = line_rules.verdicts(table(spark, folder, "documents"))
+    return found.withColumn("n_removed_lines", F.size("removed_lines").cast("long")).drop("removed_lines")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the documents that repeat, exactly or nearly, with the line that is kept."""
+    return line_dedup.repeated_lines(table(spark, folder, "documents"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License texts in the documents."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in the documents."""
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

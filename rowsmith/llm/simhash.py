@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
 from rowsmith.llm.tables import Scratch, fresh, quoted
+from rowsmith.operators.lookup import KeyTable, attach
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -36,6 +37,7 @@ SAMPLE = 16_384
 LEAF = 1_024
 MAX_LEAVES = 4_096
 TILE = 8_192
+BROADCAST_BYTES = 16 * 1024 * 1024
 _BLOCK = 1 << 22  # fingerprint pairs compared at once
 
 
@@ -236,7 +238,8 @@ def near_duplicates(
     scratch = Scratch(docs.sparkSession)
     prints, _ = scratch.write(fingerprints(docs, shingle_words, doc_id, text), "fingerprints")
     distinct, _ = scratch.write(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_fingerprints"
+        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")),
+        "distinct_fingerprints",
     )
     edges = links(distinct, max_bits)
     classes = components(edges).select(F.col("node").alias("fp"), "component")
@@ -244,9 +247,12 @@ def near_duplicates(
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("smallest"))
     moved = linked.join(smallest, "component").select(F.col("fp").alias("moved"), "smallest")
     known = distinct.join(moved, F.col("fp") == F.col("moved"), "left").select(
-        F.col("fp").alias("known"), F.coalesce("smallest", "first_id").alias("component_id")
+        F.col("fp").alias("key"), "n", F.coalesce("smallest", "first_id").alias("component_id")
     )
-    return prints.join(known, F.col("fp") == F.col("known")).select(
+    written, _ = scratch.write(known, "fingerprint_classes")
+    # Rows of a fingerprint that many texts share are spread over tasks.
+    keyed = KeyTable.measured(written, ("component_id",))
+    return attach(prints, F.col("fp"), keyed, broadcast_bytes=BROADCAST_BYTES).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from rowsmith.llm.license_templates import TEMPLATES
+
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE: dict[str, str] = {}
 
-# The contract compares targets and sizes; the sample itself is checked by tests.
-SOURCE_TARGETS = f"""
+ORACLE["op1_source_mixing"] = f"""
 with sized as (select doc_id, source, cast({_SIZE} as bigint) as size from documents),
 counted as (select source, sum(size) as source_size from sized group by source),
 weighed as (
@@ -28,11 +29,39 @@ level as (
   from running
   where room * (shares - weight_before) > (total - room_before) * weight
   order by room / cast(weight as double), source nulls last limit 1
+),
+targets as (
+  select source, source_size,
+         case when room * open_shares <= remaining * weight then cast(room as double)
+              else cast(remaining * weight as double) / cast(open_shares as double) end as target
+  from weighed, level
+),
+needs as (
+  select *, case when source_size > 0 then cast(round(target) as bigint) // source_size else 0 end as whole,
+         case when source_size > 0 then cast(round(target) as bigint) % source_size else 0 end as need
+  from targets
+),
+turns as (
+  select doc_id, source, size,
+         cast('0x' || substr(md5('20240601:' || coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as turn
+  from sized
+),
+tied as (select source, turn, sum(size) as inside, count(*) as ties from turns where size > 0 group by source, turn),
+ordered as (
+  select *, sum(inside) over (partition by source order by turn rows between unbounded preceding and current row) as upto
+  from tied
+),
+cuts as (
+  select n.source, o.turn as cut_turn, cast((n.need - (o.upto - o.inside)) // o.ties as bigint) as cut_words
+  from needs n join ordered o on n.source is not distinct from o.source
+  where o.upto - o.inside < n.need and n.need <= o.upto
 )
-select source, source_size,
-       case when room * open_shares <= remaining * weight then cast(room as double)
-            else cast(remaining * weight as double) / cast(open_shares as double) end as target
-from weighed, level
+select t.doc_id, t.size, cast(n.source_size as bigint) as source_size, n.target,
+       cast(n.whole * t.size + case when t.turn < coalesce(c.cut_turn, 0) then t.size
+                                    when t.turn = coalesce(c.cut_turn, 0) then least(t.size, coalesce(c.cut_words, 0))
+                                    else 0 end as bigint) as taken
+from turns t join needs n on t.source is not distinct from n.source
+left join cuts c on t.source is not distinct from c.source
 """
 
 ORACLE["op8_url_filter"] = r"""
@@ -103,3 +132,108 @@ select page_id, f.host, f.path, f.rule,
   coalesce(f.verdict, case when b.node is not null then 'block' else 'allow' end) as verdict
 from fitting f left join blocked b on f.absolute and b.node = f.host || f.path || f.query
 """
+
+_SHINGLED = r"""
+{name} as (
+  select {id}, string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+') as raw from {source}
+),
+{name}_words as (select {id}, list_filter(raw, lambda x: x <> '') as words from {name}),
+{name}_shingles as (
+  select distinct {id}, case when len(words) < 5 then array_to_string(words, ' ')
+    else array_to_string(words[i:i + 4], ' ') end as shingle
+  from {name}_words, unnest(range(1, greatest(len(words) - 3, 2))) as t(i)
+  where len(words) > 0
+)
+"""
+
+
+def _contained(id_name: str, parts: str, left: str) -> str:
+    """Documents with at least 4/5 of the shingles of an entry of ``left``."""
+    return f"""
+with {parts},
+sizes as (select {id_name}, count(*) as n_shingles from {left}_shingles group by {id_name}),
+common as (
+  select doc_id, {id_name}, count(*) as matched
+  from docs_shingles join {left}_shingles using (shingle) group by doc_id, {id_name}
+)
+select doc_id, {id_name}, n_shingles, matched from common join sizes using ({id_name})
+where 5 * matched >= 4 * n_shingles
+"""
+
+
+_DOCS = _SHINGLED.format(name="docs", id="doc_id", source="documents")
+
+ORACLE["op9_decontamination"] = _contained(
+    "item_id", _DOCS + "," + _SHINGLED.format(name="items", id="item_id", source="benchmark"), "items"
+)
+
+_TEMPLATE_ROWS = ", ".join(
+    "('{}', '{}')".format(*[part.replace("'", "''") for part in pair]) for pair in TEMPLATES.items()
+)
+ORACLE["op5_license_scan"] = _contained(
+    "license",
+    f"templates as (select * from (values {_TEMPLATE_ROWS}) as v (license, text)),"
+    + _DOCS + "," + _SHINGLED.format(name="notices", id="license", source="templates"),
+    "notices",
+)
+
+ORACLE["op3_line_rules"] = r"""
+with texts as (select doc_id, source, coalesce(text, '') as text from documents),
+split as (
+  select doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+         string_split(text, chr(10)) as lines
+  from texts
+),
+windows as (
+  select doc_id, i, words[i:i + 2] as trio, count(*) over (partition by doc_id, words[i:i + 2]) as n
+  from split, unnest(range(1, len(words) - 1)) as t(i)
+),
+covered as (
+  select doc_id, count(distinct i + k) as n_repeat_words
+  from windows, unnest([0, 1, 2]) as o(k) where n >= 2 group by doc_id
+),
+each as (
+  select doc_id, source, hash(text) as same, lines[i] as line, i,
+         regexp_replace(array_to_string(regexp_extract_all(
+           translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+'), ' '), '[0-9]', '0', 'g') as normal,
+         len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) as line_words
+  from split, unnest(range(1, len(lines) + 1)) as t(i)
+),
+repeats as (
+  select doc_id, count(*) as n_dup_lines
+  from (select doc_id, line_words, row_number() over (partition by doc_id, line order by i) as place from each)
+  where place > 1 and line_words > 0 group by doc_id
+),
+hosts as (select source, count(distinct hash(text)) as n from texts group by source),
+frequent as (
+  select e.source, normal, count(distinct same) as documents from each e
+  where line_words > 0 group by e.source, normal
+),
+boilerplate as (
+  select f.source, normal from frequent f join hosts h on f.source is not distinct from h.source
+  where documents > 20 and documents * 100 > h.n * 20
+),
+removed as (
+  select doc_id, sum(line_words) as removed_words, count(*) as n_removed_lines
+  from each e join boilerplate b on e.source is not distinct from b.source and e.normal = b.normal
+  group by doc_id
+),
+counted as (
+  select doc_id, cast(len(words) as bigint) as n_words,
+         cast(len(array_to_string(words, '')) as bigint) as word_chars,
+         cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols
+  from split
+),
+merged as (
+  select doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+         coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(removed_words, 0) as lost,
+         coalesce(n_removed_lines, 0) as n_removed_lines
+  from counted left join repeats using (doc_id) left join covered using (doc_id) left join removed using (doc_id)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_lines,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)
+         and 100 * lost <= 50 * n_words and n_words - lost >= 50 as kept
+from merged
+"""
