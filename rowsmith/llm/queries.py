@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import chat, decontaminate, licenses, line_dedup, line_rules, mixing, simhash, url_filter
+from rowsmith.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    line_quality,
+    line_rules,
+    mixing,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from rowsmith.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +51,12 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_conversations(turns.union(probe))
 
 
+@query
+def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of each document."""
+    return line_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Rule and verdict of each page."""
@@ -52,6 +69,12 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of each document."""
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of each document."""
