@@ -66,10 +66,10 @@ left join cuts c on t.source is not distinct from c.source
 
 ORACLE["op8_url_filter"] = r"""
 with recursive plain as (
-  select page_id, url, html from pages
+  select row_number() over () as r, page_id, url, html from pages
 ),
 parts as (
-  select page_id, html,
+  select r, page_id, html,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
@@ -121,7 +121,7 @@ blocked as (
   having bool_or(t.verdict = 'block') and not bool_or(t.verdict = 'allow')
 ),
 fitting as (
-  select page_id, p.host, p.path, p.query, p.absolute,
+  select p.r, page_id, p.host, p.path, p.query, p.absolute,
     arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
     arg_max(verdict, length(rule_host || rule_path)) as verdict
   from parts p left join rules
@@ -178,22 +178,22 @@ ORACLE["op5_license_scan"] = _contained(
 )
 
 ORACLE["op3_line_rules"] = r"""
-with texts as (select doc_id, source, coalesce(text, '') as text from documents),
+with texts as (select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents),
 split as (
-  select doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+  select r, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
          string_split(text, chr(10)) as lines
   from texts
 ),
 windows as (
-  select doc_id, i, words[i:i + 2] as trio, count(*) over (partition by doc_id, words[i:i + 2]) as n
+  select r, i, words[i:i + 2] as trio, count(*) over (partition by r, words[i:i + 2]) as n
   from split, unnest(range(1, len(words) - 1)) as t(i)
 ),
 covered as (
-  select doc_id, count(distinct i + k) as n_repeat_words
-  from windows, unnest([0, 1, 2]) as o(k) where n >= 2 group by doc_id
+  select r, count(distinct i + k) as n_repeat_words
+  from windows, unnest([0, 1, 2]) as o(k) where n >= 2 group by r
 ),
 each as (
-  select doc_id, source, hash(text) as same, lines[i] as line, i,
+  select r, source, hash(text) as same, lines[i] as line, i,
          regexp_replace(array_to_string(regexp_extract_all(
            translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x20\x09-\x0D]+'), ' '), '[0-9]', '0', 'g') as normal,
@@ -201,9 +201,9 @@ each as (
   from split, unnest(range(1, len(lines) + 1)) as t(i)
 ),
 repeats as (
-  select doc_id, count(*) as n_dup_lines
-  from (select doc_id, line_words, row_number() over (partition by doc_id, line order by i) as place from each)
-  where place > 1 and line_words > 0 group by doc_id
+  select r, count(*) as n_dup_lines
+  from (select r, line_words, row_number() over (partition by r, line order by i) as place from each)
+  where place > 1 and line_words > 0 group by r
 ),
 hosts as (select source, count(distinct hash(text)) as n from texts group by source),
 frequent as (
@@ -215,12 +215,12 @@ boilerplate as (
   where documents > 20 and documents * 100 > h.n * 20
 ),
 removed as (
-  select doc_id, sum(line_words) as removed_words, count(*) as n_removed_lines
-  from each e join boilerplate b on e.source is not distinct from b.source and e.normal = b.normal
-  group by doc_id
+  select r, sum(line_words) as removed_words, count(*) as n_removed_lines
+  from each e join boilerplate b on line_words > 0 and e.source is not distinct from b.source and e.normal = b.normal
+  group by r
 ),
 counted as (
-  select doc_id, cast(len(words) as bigint) as n_words,
+  select r, doc_id, cast(len(words) as bigint) as n_words,
          cast(len(array_to_string(words, '')) as bigint) as word_chars,
          cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols
   from split
@@ -229,7 +229,7 @@ merged as (
   select doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
          coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(removed_words, 0) as lost,
          coalesce(n_removed_lines, 0) as n_removed_lines
-  from counted left join repeats using (doc_id) left join covered using (doc_id) left join removed using (doc_id)
+  from counted left join repeats using (r) left join covered using (r) left join removed using (r)
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_lines,
        n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,

@@ -9,6 +9,7 @@ probability. Scoring reads Arrow batches and keeps the gate inputs of words it h
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,10 +27,16 @@ from rowsmith.llm.tables import fresh, held_out, quoted
 WINDOW = 32
 STRIDE = 16
 #: Bound of the sample of labelled texts, per class.
-PER_CLASS = 1_000
+PER_CLASS = 1_500
 EPOCHS = 7
+#: A small sample is passed through more often, up to this many steps.
+MIN_STEPS = 400
 BATCH = 128
 RATE = 0.01
+#: Texts of either class that every word and n-gram is taken to have been seen in.
+PRIOR_TEXTS = 6
+#: One in so many texts of the sample is kept for the calibration.
+CALIBRATION = 5
 SEED = 20_240_603
 THRESHOLD = 0.3
 _KNOWN_WORDS = 1 << 18
@@ -127,23 +134,38 @@ class Scorer:
 
 
 def _log_odds(present: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
-    """How much likelier a bucket is in a toxic than in a clean text; 0 for what is seen once."""
+    """How much likelier a bucket is in a toxic than in a clean text; near 0 for what few texts have."""
     seen = np.zeros((2, buckets))
     for ids, y in zip(present, labels):
         seen[y, ids] += 1
-    totals = np.bincount(labels, minlength=2)[:, None]
-    share = (seen + 0.5) / (totals + 1)
-    score = np.clip(np.log(share[1] / share[0]), -2, 4)
-    return np.where(seen.sum(axis=0) > 1, score / 2, 0).astype(np.float32)
+    rate = np.bincount(labels, minlength=2)[:, None] / len(labels)
+    share = (seen + PRIOR_TEXTS * rate) / rate
+    return (np.clip(np.log(share[1] / share[0]), -2, 4) / 2).astype(np.float32)
 
 
 def train(sample: Sample, epochs: int = EPOCHS) -> Scorer:
-    """Fit a scorer; constant if a class is missing."""
-    labels, random = sample.labels, np.random.default_rng(SEED)
-    if len(np.unique(labels)) < 2:
+    """Fit a scorer on most of the sample and calibrate it on the rest; constant if a class is missing."""
+    if len(np.unique(sample.labels)) < 2:
         share = (sample.class_rows[1] + 0.5) / (sum(sample.class_rows) + 1)
         return Scorer(None, shift=float(np.log(share / (1 - share))))
     texts = [words_of(t) for t in sample.texts]
+    # The same share of both classes; a class of few texts is used for both.
+    place = np.empty(len(texts), np.int64)
+    for y in (0, 1):
+        own = np.flatnonzero(sample.labels == y)
+        place[own] = np.arange(len(own))
+    rest = place % CALIBRATION == CALIBRATION - 1
+    if len(np.unique(sample.labels[rest])) < 2:
+        rest = np.ones(len(texts), bool)
+    trained = ~rest if not rest.all() else rest
+    network = _fit([t for t, use in zip(texts, trained) if use], sample.labels[trained], epochs)
+    raw = Scorer(network).raw([t for t, use in zip(texts, rest) if use])
+    slope, shift = calibrate(raw, sample.labels[rest], sample.weights[rest])
+    return Scorer(network, slope, shift)
+
+
+def _fit(texts: list[list[str]], labels: np.ndarray, epochs: int) -> Network:
+    random = np.random.default_rng(SEED)
     vocabulary = list(Counter(w for words in texts for w in words))
     place = {w: i for i, w in enumerate(vocabulary)}
     buckets, grams, counts = hashed_words(vocabulary or [""])
@@ -162,22 +184,23 @@ def train(sample: Sample, epochs: int = EPOCHS) -> Scorer:
     ]
     steps = Adam(network, RATE)
     scorer = Scorer(network)
+    per_epoch = sum(min(len(g), 2 if y else 6) for g, y in zip(guesses, labels)) / BATCH
+    epochs = max(epochs, math.ceil(MIN_STEPS / max(1, math.ceil(per_epoch))))
+    renewed = {epochs // 4, epochs // 2, 3 * epochs // 4} - {0}
     for epoch in range(epochs):
-        if epoch in (2, 4, 6):
+        if epoch in renewed:
             scorer.forget()
             guesses = _all_logits(scorer, texts)
         chosen = []
         for d, (guess, y) in enumerate(zip(guesses, labels)):
-            best = np.argsort(-guess)[: 2 if y and epoch < 4 else 1 if y else 4]
+            best = np.argsort(-guess)[: 2 if y and 2 * epoch < epochs else 1 if y else 4]
             drawn = [] if y else random.integers(0, len(guess), 2).tolist()
             chosen += [(d, int(i)) for i in {*best.tolist(), *drawn}]
         order = random.permutation(len(chosen))
         for at in range(0, len(order), BATCH):
             _step(network, steps, [chosen[i] for i in order[at : at + BATCH]], rows, labels, (buckets, grams, counts, starts))
-        steps.rate *= 0.8
-    scorer = Scorer(network)
-    slope, shift = calibrate(scorer.raw(texts), labels, sample.weights)
-    return Scorer(network, slope, shift)
+        steps.rate = RATE * 0.2 ** ((epoch + 1) / epochs)
+    return network
 
 
 def _all_logits(scorer: Scorer, texts: list[list[str]]) -> list[np.ndarray]:
