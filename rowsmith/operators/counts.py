@@ -7,19 +7,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from rowsmith.functions.numbers import HASH_DIGITS, key_hash
 from rowsmith.operators.columns import quoted
 from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach
+from rowsmith.operators.ordering import row_numbers
 from rowsmith.storage import materialize
 
 
+def value_text(df: DataFrame, column: str) -> Column:
+    """A value as text, equal for values that Spark groups together: both zeros, and every NaN."""
+    value = quoted(column)
+    if isinstance(df.schema[column].dataType, (FloatType, DoubleType)):
+        value = value + F.lit(0.0).cast(df.schema[column].dataType)
+    return value.cast("string")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, n) for every listed column, from one scan and one shuffle.
 
     Values are text; a null value is counted like any other.
     """
-    texts = df.select(*[quoted(c).cast("string").alias(c) for c in columns])
+    texts = df.select(*[value_text(df, c).alias(c) for c in columns])
     long = texts.unpivot([], [quoted(c) for c in columns], "feature", "value")
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -87,9 +96,11 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def drop_constant(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop those of ``columns`` that hold one distinct value."""
-    found = distinct_counts(df, columns).filter("n_distinct = 1").select("feature")
-    return df.drop(*[row["feature"] for row in found.collect()])
+    """Drop those of ``columns`` that hold one distinct value. One aggregation, no shuffle of values."""
+    if not columns:
+        return df
+    found = df.agg(*[F.min(quoted(c)).eqNullSafe(F.max(quoted(c))) & (F.count(quoted(c)) > 0) for c in columns]).first()
+    return df.drop(*[c for c, is_constant in zip(columns, found) if is_constant])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -112,29 +123,26 @@ def group_lists(
     chunk_rows: int = 100_000,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Values of each key as sorted lists of about ``chunk_rows`` at most.
+    """Values of each key in order, cut into lists of ``chunk_rows``; the last list is shorter.
 
-    A key within the limit is one row, ``chunk`` 0 of 1. A larger key becomes several
-    rows, each with its share of the values, so that no list and no task holds a whole
-    large group. ``row_id`` decides the chunk of a row.
+    One row per list: the key, ``chunk`` from 0, the number of ``chunks`` of the key, and
+    ``values``. A value's place among those of its key decides its list, so no list is longer
+    than ``chunk_rows``, however often a value or a row id repeats. Rows are numbered in sorted
+    ranges, and no task holds a large group.
     """
-    counts = group_count(df, key).select(quoted(key).alias("key"), "n")
-    chunks = F.ceil(F.col("n") / F.lit(chunk_rows)).cast("long")
-    sized = materialize(counts.withColumn("chunks", chunks), "group_sizes")
-    table = KeyTable.measured(sized, ("chunks",))
-    rows = df.select(quoted(key), quoted(value), quoted(row_id))
-    located = attach(rows, quoted(key), table, True, broadcast_bytes)
+    names = {"key": quoted(key), "value": quoted(value), "id": quoted(row_id)}
+    rows = df.select(*[c.alias(n) for n, c in names.items()])
+    # Equal rows are told apart by their number within a task, so that ranges can part them.
+    turned = rows.withColumn("turn", F.xxhash64(F.monotonically_increasing_id()))
+    numbered = row_numbers(turned, [F.col(c) for c in ("key", "value", "id", "turn")], "place")
+    counted = numbered.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start"))
+    table = KeyTable.measured(materialize(counted.withColumn("held", F.col("n")), "group_sizes"), ("start", "held"))
+    located = attach(numbered, F.col("key"), table, True, broadcast_bytes)
+    chunk = F.floor((F.col("place") - F.col("start")) / chunk_rows).cast("long")
+    chunks = F.ceil(F.col("held") / F.lit(chunk_rows)).cast("long")
     return (
-        located.withColumn("chunk", _chunk_of(quoted(row_id), F.col("chunks")))
-        .groupBy(quoted(key), "chunks", "chunk")
-        .agg(F.sort_array(F.collect_list(quoted(value))).alias("values"))
-    )
-
-
-def _chunk_of(row_id: Column, chunks: Column) -> Column:
-    digits = F.substring(key_hash(row_id), 1, HASH_DIGITS)
-    return F.when(chunks == 1, F.lit(0).cast("long")).otherwise(
-        F.conv(digits, 16, 10).cast("long") % chunks
+        located.groupBy(F.col("key").alias(key), chunks.alias("chunks"), chunk.alias("chunk"))
+        .agg(F.sort_array(F.collect_list("value")).alias("values"))
     )
 
 

@@ -13,13 +13,12 @@ from pyspark.sql.types import BooleanType
 from rowsmith.fixed_values import TRUE_TEXTS
 from rowsmith.functions.text import binary_flag
 from rowsmith.operators.columns import columns_of_type, present, quoted
-from rowsmith.operators.counts import CategoryCounts
+from rowsmith.operators.counts import CategoryCounts, value_text
 from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach, broadcastable
 from rowsmith.operators.ordering import row_numbers
 
 # Up to this many labels are ranked in one task; more are ranked by sorted ranges.
 RANKED_LABELS = 100_000
-ONE_HOT_CATEGORIES = 1_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +57,7 @@ class FrequencyEncoder:
         for c in self.columns:
             df = attach(
                 df,
-                quoted(c).cast("string"),
+                value_text(df, c),
                 self.counts.key_table(c, f"{c}_freq"),
                 null_safe=self.null_policy == "count",
                 broadcast_bytes=self.broadcast_bytes if c in small else 0,
@@ -114,7 +113,7 @@ class LabelIndexer:
         small = broadcastable(sizes, self.broadcast_bytes)
         for c, table in self.tables.items():
             limit = self.broadcast_bytes if c in small else 0
-            df = attach(df, quoted(c).cast("string"), table, broadcast_bytes=limit)
+            df = attach(df, value_text(df, c), table, broadcast_bytes=limit)
             index = quoted(f"{c}_idx")
             if self.handle_invalid == "keep":
                 kept = F.coalesce(index, F.lit(float(self.n_labels[c])))
@@ -141,26 +140,34 @@ def one_hot(
     df: DataFrame,
     columns: Sequence[str],
     counts: CategoryCounts | None = None,
-    max_categories: int = ONE_HOT_CATEGORIES,
+    categories: dict[str, Sequence[str]] | None = None,
     keep_source: bool = False,
 ) -> DataFrame:
     """One 0/1 column ``<column>_<category>`` per category; a null category is all zeros.
 
-    The columns of a table must be known and few: more than ``max_categories`` is an error.
+    Categories are those given, else those counted; there is no limit. The columns of a table
+    are part of its plan, so where the number of categories is open ``one_hot_vectors`` is the
+    form that grows with the data.
     """
-    counts = counts or CategoryCounts.fit(df, columns)
-    added = {}
-    for c in columns:
-        if counts.sizes[c]["n_values"] > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} categories; index it instead")
-        labels = counts.of(c).filter("key is not null").orderBy("key").select("key")
-        for row in labels.collect():
-            hit = quoted(c).cast("string") == row["key"]
-            added[f"{c}_{row['key']}"] = F.when(hit, 1).otherwise(0)
+    if categories is None:
+        categories = _counted_categories(counts or CategoryCounts.fit(df, columns), columns)
+    added = {
+        f"{c}_{value}": F.when(value_text(df, c) == value, 1).otherwise(0)
+        for c in columns
+        for value in categories[c]
+    }
     encoded = df.withColumns(added)
     return encoded if keep_source else encoded.drop(*columns)
 
 
+def _counted_categories(counts: CategoryCounts, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted categories of each column; they become columns, so they fit the plan and the driver."""
+    return {
+        c: [r["key"] for r in counts.of(c).filter("key is not null").orderBy("key").select("key").collect()]
+        for c in columns
+    }
+
+
 def one_hot_vectors(df: DataFrame, index_columns: Sequence[str], drop_last: bool = False):
     """Indexed columns as sparse 0/1 vectors ``<column>_vec``."""
     encoder = OneHotEncoder(

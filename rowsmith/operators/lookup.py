@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.operators.columns import quoted
+from rowsmith.storage import materialize
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
-# A key is hot from this share of all rows on, so at most HOT_PARTS keys can be hot.
-HOT_PARTS = 256
-SPREAD = 256
+# A key is hot if it holds more than a quarter of an even task's rows. There are at most
+# MAX_HOT_KEYS such keys whatever the number of tasks, so their table can be broadcast.
+HOT_PER_TASK = 4
+MAX_HOT_KEYS = 50_000
 
 _KEY, _SALT, _HOT = "__key", "__salt", "__hot"
 
@@ -38,6 +40,7 @@ class KeyTable:
     n_keys: int
     n_bytes: int
     total: int
+    counted: bool = True
 
     @staticmethod
     def size_columns(key: str = "key", n: str = "n") -> list[Column]:
@@ -59,7 +62,8 @@ class KeyTable:
     def of_values(cls, values: DataFrame, key: str, payload: tuple[str, ...]) -> KeyTable:
         """A dictionary table, one row per key, without counts of its own."""
         rows = values.select(quoted(key).alias("key"), F.lit(1).alias("n"), *payload)
-        return cls.measured(rows, payload)
+        size = rows.agg(*cls.size_columns()).first()
+        return cls(rows, payload, size["n_keys"], size["n_bytes"], size["total"], counted=False)
 
 
 def broadcastable(sizes: dict[str, int], budget: int = BROADCAST_BYTES) -> set[str]:
@@ -83,8 +87,8 @@ def attach(
     """Add the payload of ``table`` to each row of ``df``; null where the key is unknown.
 
     A null key finds nothing unless ``null_safe``, which lets it match a null key. Hot keys
-    are those of the data the table was counted on; a key that is hot in ``df`` alone is left
-    to Spark's own skew join.
+    are those of the data the table was counted on; for a table without counts the keys of
+    ``df`` are counted before a shuffled join.
     """
     values = table.rows.select(F.col("key").alias(_KEY), *table.payload)
     if table.n_bytes <= broadcast_bytes:
@@ -94,7 +98,9 @@ def attach(
 
 
 def _attach_shuffled(df: DataFrame, key: Column, table: KeyTable, null_safe: bool) -> DataFrame:
-    is_hot = F.col("n") * HOT_PARTS >= table.total
+    table = table if table.counted else _counted(df, key, table)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col("n") * min(HOT_PER_TASK * tasks, MAX_HOT_KEYS) >= table.total
     names = {p: f"{_HOT}_{p}" for p in table.payload}
     hot = table.rows.filter(is_hot).select(
         F.col("key").alias(_KEY),
@@ -103,20 +109,20 @@ def _attach_shuffled(df: DataFrame, key: Column, table: KeyTable, null_safe: boo
     )
     # Always 0, but taken from a column: a literal would be folded out of the join key
     # and the salt would no longer decide where a row goes.
-    zero = F.least(F.col("n"), F.lit(0)).cast("int")
+    zero = F.least(F.col("n"), F.lit(0)).cast("long")
     cold = table.rows.filter(~is_hot).select(
         F.col("key").alias(_KEY), zero.alias(f"{_SALT}_cold"), *table.payload
     )
-    # The hash of the row, unlike a random number, sends a row to the same place when
-    # a lost task runs again.
-    row_hash = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SPREAD)).cast("int")
+    # The row's number within its task, unlike a random number, is the same when a lost
+    # task runs again, and unlike a hash of the row it spreads equal rows.
+    row_hash = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 1)
     answered = F.col(_HOT).isNotNull()
     if not null_safe:
         answered = answered | key.isNull()
     marked = (
         df.join(F.broadcast(hot), _matches(key, F.col(_KEY), null_safe), "left")
         .drop(_KEY)
-        .withColumn(_SALT, F.when(answered, row_hash + 1).otherwise(0))
+        .withColumn(_SALT, F.when(answered, -1 - row_hash).otherwise(F.lit(0).cast("long")))
     )
     joined = marked.join(
         cold,
@@ -129,5 +135,15 @@ def _attach_shuffled(df: DataFrame, key: Column, table: KeyTable, null_safe: boo
     )
 
 
+def _counted(df: DataFrame, key: Column, table: KeyTable) -> KeyTable:
+    """``table`` with the rows of each key in ``df``; keys it lacks are added without values."""
+    seen = df.groupBy(key.alias("seen")).agg(F.count(F.lit(1)).alias("n_seen"))
+    rows = table.rows.drop("n").join(seen, F.col("key") == F.col("seen"), "full")
+    counted = rows.select(
+        F.coalesce("key", "seen").alias("key"), F.coalesce("n_seen", F.lit(0)).alias("n"), *table.payload
+    )
+    return KeyTable.measured(materialize(counted, "lookup_counts"), table.payload)
+
+
 def _matches(probe: Column, build: Column, null_safe: bool) -> Column:
     return probe.eqNullSafe(build) if null_safe else probe == build

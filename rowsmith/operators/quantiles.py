@@ -1,42 +1,98 @@
 """Exact medians of several columns without bringing their values together.
 
-Columns with few distinct values are ranked after one cheap counting pass. For the
-others each pass counts what lies below and inside a bracket and sketches the inside on
-an even grid of ranks; the grid points around the middle become the next, far narrower
-bracket. Passes end once few distinct values are left, and only those are ranked. Counts
-are exact in every pass, so the sketch decides the cost alone.
+A column with few distinct values is ranked after one counting pass. For the others each pass
+counts what lies below, at the ends of and inside an open interval and sketches the inside on an
+even grid of ranks; the grid points around the wanted rank become the next, far narrower interval.
+A rank that falls on the block of equal values at an end is answered by that end, so a value that
+holds a large share of the rows never keeps an interval from shrinking. Counts are exact in every
+pass and the sketch decides the cost alone. A column whose interval stops shrinking is ranked in
+sorted ranges.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions.numbers import as_double
 from rowsmith.operators.columns import quoted
+from rowsmith.storage import materialize
 
 GRID = 1_000
 SKETCH_ACCURACY = 10 * GRID
 RANKED_VALUES = 100_000
+# Passes over the data per column; each good one divides the rows of the interval by hundreds.
+MAX_PASSES = 12
 
 
 @dataclass
-class Bracket:
-    """Closed interval that holds the middle of a column of ``n`` values."""
+class Interval:
+    """Open interval of values; an end that is None is no bound."""
 
-    low: float = float("-inf")
-    high: float = float("inf")
-    n: int = 0
-    below: int = 0
+    low: float | None = None
+    high: float | None = None
+
+    def holds(self, x: Column) -> Column:
+        inside = x.isNotNull()
+        if self.low is not None:
+            inside = inside & (x > self.low)
+        if self.high is not None:
+            inside = inside & (x < self.high)
+        return inside
+
+
+@dataclass
+class Search:
+    """Where the middle ranks of one column are known to lie."""
 
-    @property
-    def ranks(self) -> tuple[int, int]:
-        """0-based ranks inside the bracket whose values average to the median."""
-        return (self.n - 1) // 2 - self.below, self.n // 2 - self.below
+    settled: Interval = field(default_factory=Interval)
+    trial: Interval = field(default_factory=Interval)
+    below: int = 0
+    inside: int = -1
+    margin: int = 1
+    pending: list[int] | None = None
+    answers: list[float] = field(default_factory=list)
+    sketch: list[float] | None = None
+    in_ranges: bool = False
+
+    def learn(self, counts: Row, ranked_values: int) -> bool:
+        """Take in the counts of the trial interval; True if no further pass is needed."""
+        if self.pending is None:
+            self.pending = [(counts["n"] - 1) // 2, counts["n"] // 2] if counts["n"] else []
+        start = counts["below"] + counts["at_low"]
+        end = start + counts["inside"]
+        if any(not counts["below"] <= r < end + counts["at_high"] for r in self.pending):
+            # The sketch missed: try wider from the last interval that holds the ranks.
+            self.margin *= 4
+            self.in_ranges = self.margin > len(self.sketch)
+            self._aim()
+            return self.in_ranges
+        self.answers += [self.trial.low for r in self.pending if r < start]
+        self.answers += [self.trial.high for r in self.pending if r >= end]
+        self.pending = [r for r in self.pending if start <= r < end]
+        stuck = self.sketch is not None and counts["inside"] >= self.inside >= 0
+        self.settled, self.below, self.inside = self.trial, start, counts["inside"]
+        if not self.pending or counts["distinct"] <= ranked_values:
+            return True
+        self.in_ranges = stuck
+        self.sketch = counts["sketch"]
+        if self.sketch is not None:
+            self._aim()
+        return stuck
+
+    def _aim(self) -> None:
+        cells = len(self.sketch) - 1
+        places = [(r - self.below) / max(1, self.inside) * cells for r in self.pending]
+        left = math.floor(min(places)) - self.margin
+        right = math.ceil(max(places)) + self.margin
+        self.trial = Interval(
+            self.sketch[left] if left >= 0 else self.settled.low,
+            self.sketch[right] if right <= cells else self.settled.high,
+        )
 
 
 def medians(
@@ -44,75 +100,64 @@ def medians(
     columns: Sequence[str],
     ranked_values: int = RANKED_VALUES,
     grid: int = GRID,
+    max_passes: int = MAX_PASSES,
 ) -> DataFrame:
     """(feature, median) per column, null for a column without values."""
     numbers = df.select(*[as_double(quoted(c)).alias(c) for c in columns])
-    return _rank_inside(numbers, _narrow(numbers, columns, ranked_values, grid))
+    found = _narrow(numbers, columns, ranked_values, grid, max_passes)
+    known = df.sparkSession.createDataFrame(
+        [(c, sum(s.answers) / 2) for c, s in found.items() if not s.pending and s.answers]
+        + [(c, None) for c, s in found.items() if not s.pending and not s.answers],
+        "feature string, median double",
+    )
+    near = {c: s for c, s in found.items() if s.pending and not s.in_ranges}
+    far = {c: s for c, s in found.items() if s.pending and s.in_ranges}
+    result = known
+    if near:
+        result = result.union(_rank_inside(numbers, near))
+    for c, search in far.items():
+        result = result.union(_rank_in_ranges(numbers, c, search))
+    return result
 
 
 def _narrow(
-    numbers: DataFrame, columns: Sequence[str], ranked_values: int, grid: int
-) -> dict[str, Bracket]:
-    settled = {c: Bracket() for c in columns}
-    trial = {c: Bracket() for c in columns}
-    margin = dict.fromkeys(columns, 1)
-    unsettled = list(columns)
-    sketched = False
-    while unsettled:
-        aggregates = _bracket_aggregates(trial, unsettled, grid if sketched else 0)
-        row = numbers.agg(*aggregates).first()
-        for i, c in enumerate(list(unsettled)):
-            t = trial[c]
-            t.n, t.below, inside = row[f"n{i}"], row[f"below{i}"], row[f"inside{i}"]
-            first, last = t.ranks
-            if t.n and not 0 <= first <= last < inside:
-                # The sketch missed the middle: try again from the last good bracket.
-                margin[c] *= 4
-                trial[c] = Bracket(settled[c].low, settled[c].high)
-                continue
-            settled[c] = t
-            if t.n == 0 or t.low == t.high or row[f"distinct{i}"] <= ranked_values:
-                unsettled.remove(c)
-            elif sketched:
-                trial[c] = _around_middle(t, inside, row[f"sketch{i}"], margin[c])
-        sketched = True
-    return settled
-
-
-def _bracket_aggregates(trial: dict[str, Bracket], columns: Sequence[str], grid: int) -> list:
-    """Counts per column and, with a grid, the sketch of the inside."""
+    numbers: DataFrame, columns: Sequence[str], ranked_values: int, grid: int, max_passes: int
+) -> dict[str, Search]:
+    found = {c: Search() for c in columns}
+    waiting = list(columns)
+    for i in range(max_passes):
+        if not waiting:
+            break
+        counts = numbers.agg(
+            *[_counts(quoted(c), found[c].trial, grid if i else 0).alias(f"c{j}") for j, c in enumerate(waiting)]
+        ).first()
+        waiting = [c for j, c in enumerate(waiting) if not found[c].learn(counts[j], ranked_values)]
+    for c in waiting:
+        found[c].in_ranges = True
+    return found
+
+
+def _counts(x: Column, trial: Interval, grid: int) -> Column:
+    """Exact counts around a trial interval and, with a grid, the sketch of its inside."""
+    inside = F.when(trial.holds(x), x)
+    none = F.lit(0).cast("long")
     shares = [i / grid for i in range(grid + 1)] if grid else []
-    aggregates = []
-    for i, c in enumerate(columns):
-        x = quoted(c)
-        inside = F.when(x.between(trial[c].low, trial[c].high), x)
-        aggregates += [
-            F.count(x).alias(f"n{i}"),
-            F.count_if(x < trial[c].low).alias(f"below{i}"),
-            F.count(inside).alias(f"inside{i}"),
-            F.approx_count_distinct(inside).alias(f"distinct{i}"),
-        ]
-        if shares:
-            sketch = F.percentile_approx(inside, shares, SKETCH_ACCURACY)
-            aggregates.append(sketch.alias(f"sketch{i}"))
-    return aggregates
-
-
-def _around_middle(bracket: Bracket, inside: int, sketch: list[float], margin: int) -> Bracket:
-    cells = len(sketch) - 1
-    first, last = bracket.ranks
-    left = math.floor(first / inside * cells) - margin
-    right = math.ceil(last / inside * cells) + margin
-    return Bracket(
-        sketch[left] if left >= 0 else bracket.low,
-        sketch[right] if right <= cells else bracket.high,
+    sketch = F.percentile_approx(inside, shares, SKETCH_ACCURACY) if grid else F.lit(None).cast("array<double>")
+    return F.struct(
+        F.count(x).alias("n"),
+        (none if trial.low is None else F.count_if(x < trial.low)).alias("below"),
+        (none if trial.low is None else F.count_if(x == trial.low)).alias("at_low"),
+        F.count(inside).alias("inside"),
+        (none if trial.high is None else F.count_if(x == trial.high)).alias("at_high"),
+        F.approx_count_distinct(inside).alias("distinct"),
+        sketch.alias("sketch"),
     )
 
 
-def _rank_inside(numbers: DataFrame, brackets: dict[str, Bracket]) -> DataFrame:
-    columns = list(brackets)
+def _rank_inside(numbers: DataFrame, searches: dict[str, Search]) -> DataFrame:
+    columns = list(searches)
     inside = numbers.select(
-        *[F.when(quoted(c).between(b.low, b.high), quoted(c)).alias(c) for c, b in brackets.items()]
+        *[F.when(s.settled.holds(quoted(c)), quoted(c)).alias(c) for c, s in searches.items()]
     )
     counts = (
         inside.unpivot([], [quoted(c) for c in columns], "feature", "x")
@@ -124,18 +169,52 @@ def _rank_inside(numbers: DataFrame, brackets: dict[str, Bracket]) -> DataFrame:
     upto = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
     running = counts.withColumn("upto", upto)
     targets = numbers.sparkSession.createDataFrame(
-        [Row(feature=c, first=b.ranks[0], last=b.ranks[1]) for c, b in brackets.items()],
-        "feature string, first long, last long",
+        [
+            (c, s.pending[0] - s.below, s.pending[-1] - s.below, len(s.pending), float(sum(s.answers)))
+            for c, s in searches.items()
+        ],
+        "feature string, first long, last long, wanted int, known double",
     )
-
-    def value_at(rank: str):
-        holds = (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
-        return F.max(F.when(holds, F.col("x")))
-
     # The target table has one row per column asked for.
     return (
         F.broadcast(targets)
         .join(running, "feature", "left")
-        .groupBy("feature")
-        .agg(((value_at("first") + value_at("last")) / 2).alias("median"))
+        .groupBy("feature", "wanted", "known")
+        .agg(_value_at("first").alias("one"), _value_at("last").alias("two"))
+        .select("feature", _median().alias("median"))
+    )
+
+
+def _value_at(rank: str) -> Column:
+    holds = (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
+    return F.max(F.when(holds, F.col("x")))
+
+
+def _median() -> Column:
+    """Mean of the two middle values, of which one may have been known before."""
+    both = F.when(F.col("wanted") == 2, F.col("one") + F.col("two")).otherwise(F.col("one") + F.col("known"))
+    return both / 2
+
+
+def _rank_in_ranges(numbers: DataFrame, column: str, search: Search) -> DataFrame:
+    """Rank the distinct values of one column side by side in sorted ranges."""
+    x = quoted(column)
+    counts = numbers.filter(search.settled.holds(x)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    ranges = materialize(
+        counts.repartitionByRange("x").withColumn("range", F.spark_partition_id()), "ranked_ranges"
+    )
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, and the number of ranges is a setting of the session.
+    starts = ranges.groupBy("range").agg(F.sum("n").alias("held")).select(
+        "range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start")
+    )
+    local = Window.partitionBy("range").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    running = ranges.withColumn("local", F.sum("n").over(local)).join(F.broadcast(starts), "range")
+    ranked = running.select("x", "n", (F.col("start") + F.col("local")).alias("upto")).withColumns(
+        {"first": F.lit(search.pending[0] - search.below), "last": F.lit(search.pending[-1] - search.below)}
+    )
+    return (
+        ranked.agg(_value_at("first").alias("one"), _value_at("last").alias("two"))
+        .withColumns({"wanted": F.lit(len(search.pending)), "known": F.lit(float(sum(search.answers)))})
+        .select(F.lit(column).alias("feature"), _median().alias("median"))
     )

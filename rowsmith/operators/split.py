@@ -20,6 +20,7 @@ DIGEST_DIGITS = 32
 BOUNDARY_ROWS = 100_000
 
 _CUTOFF = "__cutoff"
+_ROW = "__row"
 
 
 def random_split(
@@ -31,10 +32,13 @@ def random_split(
 ) -> DataFrame:
     """Mark about ``fraction`` of the rows as train by the hash of their key.
 
-    No shuffle. A row keeps its side when a task runs again, so the sides never overlap.
+    No shuffle. A row keeps its side when a task runs again, so the sides never overlap. Rows
+    with equal keys share a side; a row without a key is decided by all its other values.
     """
     bound = format(int(Fraction(fraction) * HASH_RANGE), f"0{HASH_DIGITS}x")
-    is_train = F.substring(key_hash(quoted(key), seed), 1, HASH_DIGITS) < bound
+    own = F.concat(F.lit("row:"), F.xxhash64(*[quoted(c) for c in df.columns]).cast("string"))
+    digest = key_hash(F.coalesce(quoted(key).cast("string"), own), seed)
+    is_train = F.substring(digest, 1, HASH_DIGITS) < bound
     return df.withColumn(name, F.when(is_train, TRAIN).otherwise(TEST))
 
 
@@ -52,14 +56,34 @@ def stratified_split(
 
     The rows stay where they are. What is searched is one cutoff hash per class: counts
     per hash prefix show in which prefix the cutoff lies, and only that prefix is looked
-    into further. Rows that share a key share a side.
+    into further. Rows that share a key share a side, at the cost of exact counts if a key
+    repeats at the cutoff. Rows without a key are written, numbered and split one by one.
     """
-    digest = key_hash(quoted(key), seed)
+    number = _ROW
+    while number in df.columns:
+        number = f"_{number}"
+    columns = df.columns
+    df = _numbered_without_key(df, key, number)
+    digest = key_hash(F.coalesce(quoted(key).cast("string"), F.concat(F.lit("row:"), F.col(number))), seed)
     narrow = df.select(quoted(label).alias("key"), digest.alias("digest"))
     cutoffs = _cutoffs(narrow, Fraction(fraction), boundary_rows, broadcast_bytes)
     located = attach(df, quoted(label), cutoffs, True, broadcast_bytes)
     is_train = digest <= F.col(_CUTOFF)
-    return located.withColumn(name, F.when(is_train, TRAIN).otherwise(TEST)).drop(_CUTOFF)
+    marked = located.withColumn(name, F.when(is_train, TRAIN).otherwise(TEST))
+    return marked.select(*[quoted(c) for c in columns if c != name], quoted(name))
+
+
+def _numbered_without_key(df: DataFrame, key: str, number: str) -> DataFrame:
+    """``df`` with a number for every row that has no key; only these rows are written."""
+    without = df.filter(quoted(key).isNull())
+    with_key = df.withColumn(number, F.lit(None).cast("string"))
+    # Parquet knows the nulls of a row group, so this reads little where there are none.
+    if without.isEmpty():
+        return with_key
+    written = materialize(
+        without.withColumn(number, F.monotonically_increasing_id().cast("string")), "rows_without_key"
+    )
+    return with_key.filter(quoted(key).isNotNull()).unionByName(written)
 
 
 def _cutoffs(

@@ -51,6 +51,27 @@ def narrowed_median(spark, folder):
     return found.select("feature", F.round("median", 6).alias("median"))
 
 
+HALF_ZERO = """
+    select 'price' as feature, median(case when l_orderkey % 2 = 0 then 0 else l_extendedprice end) as median
+    from lineitem
+"""
+
+
+def _half_zero(spark, folder):
+    price = F.when(F.col("l_orderkey") % 2 == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
+    return table(spark, folder, "lineitem").select(price.alias("price"))
+
+
+@query("median_half_zero", HALF_ZERO)
+def median_half_zero(spark, folder):
+    return quantiles.medians(_half_zero(spark, folder), ["price"])
+
+
+@query("median_half_zero_narrowed", HALF_ZERO)
+def median_half_zero_narrowed(spark, folder):
+    return quantiles.medians(_half_zero(spark, folder), ["price"], ranked_values=50, grid=100)
+
+
 @query("group_count", "select event_type, count(*) as n from events group by event_type")
 def group_count(spark, folder):
     return counts.group_count(table(spark, folder, "events"), "event_type")
@@ -122,8 +143,8 @@ GROUP_LISTS = """
                cast(ceil(count(*) over (partition by user_id) / {chunk}::double) as bigint) as chunks
         from events),
     placed as (
-        select user_id, cents, chunks, case when chunks = 1 then 0
-               else ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint % chunks end as chunk
+        select user_id, cents, chunks,
+               (row_number() over (partition by user_id order by cents, event_id) - 1) // {chunk} as chunk
         from sized)
     select user_id, chunks, chunk,
            string_agg(cents::varchar, ',' order by cents) as cents

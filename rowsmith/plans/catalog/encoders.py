@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from rowsmith.operators.encode import FrequencyEncoder, LabelIndexer, one_hot, one_hot_vectors
@@ -180,3 +181,26 @@ def one_hot_as_vectors(spark, folder):
     indexed = LabelIndexer.fit(rows, ["event_type"]).transform(rows)
     vectors = one_hot_vectors(indexed, ["event_type_idx"]).drop("event_type_idx")
     return vector_values(vectors, "event_type_idx_vec", [f"k{i}" for i in range(5)])
+
+
+@query(
+    "one_hot_many",
+    """with labels as (
+        select o_custkey, row_number() over (order by count(*) desc, o_custkey::varchar) - 1 as i
+        from orders group by o_custkey)
+    select o_orderkey, i as position, 1.0::double as total,
+           (select count(*) from labels) + 1 as width
+    from orders join labels using (o_custkey)""",
+)
+def one_hot_many(spark, folder):
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    indexed = LabelIndexer.fit(rows, ["o_custkey"]).transform(rows)
+    vectors = one_hot_vectors(indexed, ["o_custkey_idx"]).select(
+        "o_orderkey", vector_to_array("o_custkey_idx_vec").alias("v")
+    )
+    return vectors.select(
+        "o_orderkey",
+        (F.array_position("v", 1.0) - 1).alias("position"),
+        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"),
+        F.size("v").cast("long").alias("width"),
+    )

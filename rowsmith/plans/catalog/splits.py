@@ -47,6 +47,19 @@ def stratified_split_narrowed(spark, folder):
     )
 
 
+@query(
+    "stratified_split_null_keys",
+    """with sized as (select o_orderpriority, count(*) as n from orders group by o_orderpriority)
+    select o_orderpriority, 'train' as split, n * 7 // 10 as n from sized
+    union all select o_orderpriority, 'test', n - n * 7 // 10 from sized""",
+)
+def stratified_split_null_keys(spark, folder):
+    missing = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey"))
+    rows = table(spark, folder, "orders").select(missing.alias("o_orderkey"), "o_orderpriority")
+    marked = split.stratified_split(rows, "o_orderpriority", "o_orderkey")
+    return counts.split_class_counts(marked, "split", "o_orderpriority")
+
+
 @query(
     "split_class_counts",
     STRATIFIED + "select split, o_orderpriority, count(*) as n from marked group by all",

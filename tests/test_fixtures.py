@@ -298,8 +298,16 @@ def test_one_hot_limits_and_nulls(spark):
     encoded = encode.one_hot(df, ["c"])
     assert encoded.columns == ["id", "c_a", "c_b"]
     assert [tuple(r)[1:] for r in encoded.orderBy("id").collect()] == [(1, 0), (0, 1), (0, 0)]
-    with pytest.raises(ValueError):
-        encode.one_hot(df, ["c"], max_categories=1)
+    given = encode.one_hot(df, ["c"], categories={"c": ["b"]})
+    assert [tuple(r)[1:] for r in given.orderBy("id").collect()] == [(0,), (1,), (0,)]
+
+
+def test_one_hot_has_no_limit(spark):
+    df = spark.range(1_001).select((F.col("id") + 10_000).cast("string").alias("c"))
+    encoded = encode.one_hot(df, ["c"], keep_source=True)
+    assert len(encoded.columns) == 1_002
+    row = encoded.filter("c = '10500'").first()
+    assert row["c_10500"] == 1 and sum(row[c] for c in encoded.columns[1:]) == 1
 
 
 def test_group_lists_keep_every_value(spark):
