@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions.numbers import null_infinite
@@ -33,14 +33,20 @@ def drop_incomplete(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(features))
 
 
-def incomplete_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row: how many rows there are, and how many ``drop_incomplete`` keeps and drops."""
+def incomplete(df: DataFrame, features: Sequence[str]) -> Column:
+    """Is a feature of the row null or NaN?"""
     missing = F.lit(False)
     kinds = dict(df.dtypes)
     for name in features:
         missing = missing | quoted(name).isNull()
         if kinds[name] in ("double", "float"):
             missing = missing | F.isnan(quoted(name))
+    return missing
+
+
+def incomplete_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row: how many rows there are, and how many ``drop_incomplete`` keeps and drops."""
+    missing = incomplete(df, features)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~missing).alias("kept"),

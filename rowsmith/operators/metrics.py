@@ -105,5 +105,5 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def positive_score(predictions: DataFrame, name: str = "score") -> DataFrame:
-    """Add the probability of class 1 as a double column."""
-    return predictions.withColumn(name, vector_to_array(F.col("probability"))[1])
+    """Add the raw score of class 1. Unlike the probability it does not run into 1.0 and make ties."""
+    return predictions.withColumn(name, vector_to_array(F.col("rawPrediction"))[1])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +54,22 @@ def _with_weight(estimator, weight: str | None):
 
 
 def fit_preparation(
-    train: DataFrame, features: Sequence[str], handle_invalid: str = "skip"
+    train: DataFrame, features: Sequence[str], handle_invalid: str = "skip", population: bool = False
 ) -> PipelineModel:
-    """Assembler and scaler, fitted once and shared by the models trained on them."""
-    stages = [assembler(train, features, RAW, handle_invalid), scaler(RAW, SCALED)]
-    return Pipeline(stages=stages).fit(train)
+    """Assembler and scaler, fitted once and shared by the models trained on them.
+
+    With ``population`` the spread is that of the rows themselves and not the sample estimate.
+    """
+    vectors = assembler(train, features, RAW, handle_invalid)
+    if not population:
+        return Pipeline(stages=[vectors, scaler(RAW, SCALED)]).fit(train)
+    n = vectors.transform(train).count()
+    size = len(vectors.getInputCols())
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    widened = ElementwiseProduct(
+        scalingVec=Vectors.dense([factor] * size), inputCol="sample_scaled", outputCol=SCALED
+    )
+    return Pipeline(stages=[vectors, scaler(RAW, "sample_scaled"), widened]).fit(train)
 
 
 def fit_model(

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowsmith import fixed_values as fixed
 from rowsmith.functions.text import binary_label
 from rowsmith.operators import columns as cols
 from rowsmith.operators import metrics, models
 from rowsmith.operators.columns import quoted
+from rowsmith.operators.filters import incomplete
 from rowsmith.sources.delimited import read_headerless
 from rowsmith.storage import materialize
 
@@ -56,13 +59,27 @@ def run(
     test: DataFrame,
     with_difficulty: bool = False,
     handle_invalid: str = "error",
+    report: bool = False,
 ) -> DataFrame:
-    """(model, metric, value): the ROC area on the test records.
+    """(model, metric, value): the ROC area of the raw score on the test records.
 
-    The cleaned train rows are written once: the scaler and the model both read them.
+    The cleaned train rows are written once: the scaler and the model both read them. With
+    ``report`` also the training time and how many test records were skipped.
     """
     cleaned = materialize(clean(train), "intrusion_train")
+    started = time.monotonic()
     model = fit(cleaned, with_difficulty, handle_invalid)
-    predictions = metrics.positive_score(model.transform(clean(test)))
-    area = metrics.area_under_roc(predictions, fixed.INTRUSION_LABEL, "score")
-    return metrics.metric_table(area, "LogisticRegression")
+    seconds = time.monotonic() - started
+    records = clean(test)
+    predictions = metrics.positive_score(model.transform(records))
+    area = metrics.metric_table(
+        metrics.area_under_roc(predictions, fixed.INTRUSION_LABEL, "score"), "LogisticRegression"
+    )
+    if not report:
+        return area
+    missing = incomplete(records, feature_names(records, with_difficulty))
+    skipped = F.count_if(missing) if handle_invalid == "skip" else F.count_if(F.lit(False))
+    row = records.agg(
+        skipped.cast("double").alias("skipped_test_rows"), F.max(F.lit(seconds)).alias("training_seconds")
+    )
+    return area.unionByName(metrics.metric_table(row, "LogisticRegression"))

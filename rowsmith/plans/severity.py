@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowsmith import fixed_values as fixed
 from rowsmith.functions import dates
@@ -14,6 +17,7 @@ from rowsmith.operators import columns as cols
 from rowsmith.operators import encode, metrics, models, split
 from rowsmith.operators.columns import quoted
 from rowsmith.operators.counts import CategoryCounts, with_class_weight
+from rowsmith.operators.filters import incomplete
 from rowsmith.operators.missing import NumericFill, fill_text
 from rowsmith.storage import materialize
 
@@ -36,6 +40,7 @@ class SeverityOptions:
     fit_on: str = "all"
     split: str = "stratified"
     class_weights: bool = False
+    scaling: str = "sample"
     forest: tuple[tuple[str, object], ...] = ()
     logistic: tuple[tuple[str, object], ...] = ()
 
@@ -47,6 +52,8 @@ class SeverityOptions:
             "small_categories": ("drop", "one_hot", "index"),
             "fit_on": ("all", "train"),
             "split": ("stratified", "random"),
+            "scaling": ("sample", "population"),
+            "null_policy": ("drop", "count"),
         }
         for name, values in allowed.items():
             if getattr(self, name) not in values:
@@ -67,6 +74,7 @@ VARIANTS = {
         trim_flags=True,
         small_categories="one_hot",
         all_features=True,
+        scaling="population",
     ),
     "single_machine_short": SeverityOptions(
         hour_base=1,
@@ -76,6 +84,7 @@ VARIANTS = {
         text_filled=tuple(fixed.ACCIDENT_TEXT_SHORT),
         small_categories="index",
         all_features=True,
+        scaling="population",
     ),
 }
 SPLIT = "split"
@@ -132,18 +141,22 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
     fill = NumericFill.fit(known, fixed.ACCIDENT_NUMERIC, options.numeric_fill)
     small = fixed.ACCIDENT_ONE_HOT if options.small_categories != "drop" else []
     indexed = fixed.ACCIDENT_INDEXED + (small if options.small_categories == "index" else [])
-    counts = CategoryCounts.fit(
-        known, fixed.ACCIDENT_INDEXED + fixed.ACCIDENT_FREQUENCY + small
-    )
+    # Columns that selection drops are not encoded first.
+    unused = set(fixed.ACCIDENT_LOW_CORRELATION)
+    indexed = [c for c in indexed if f"{c}_idx" not in unused]
+    by_frequency = [c for c in fixed.ACCIDENT_FREQUENCY if f"{c}_freq" not in unused]
+    counts = CategoryCounts.fit(known, list(dict.fromkeys(indexed + by_frequency + small)))
     indexer = encode.LabelIndexer.fit(known, indexed, options.index_order, counts=counts)
     frequency = encode.FrequencyEncoder.fit(
         known,
-        fixed.ACCIDENT_FREQUENCY,
+        by_frequency,
         options.null_policy,
         counts=counts,
         unseen_as_zero=options.fit_on == "train",
     )
     encoded = frequency.transform(indexer.transform(fill.transform(marked)))
+    left = {*fixed.ACCIDENT_INDEXED, *fixed.ACCIDENT_FREQUENCY} - {*indexed, *by_frequency}
+    encoded = cols.drop_columns(encoded, sorted(left))
     if options.small_categories == "one_hot":
         encoded = encode.one_hot(encoded, fixed.ACCIDENT_ONE_HOT, counts)
     selected = cols.drop_columns(encoded, fixed.ACCIDENT_LOW_CORRELATION)
@@ -158,16 +171,19 @@ def feature_names(table: DataFrame, options: SeverityOptions = DEFAULTS) -> list
 
 
 def train_models(
-    table: DataFrame, options: SeverityOptions = DEFAULTS
+    table: DataFrame, options: SeverityOptions = DEFAULTS, seconds: dict[str, float] | None = None
 ) -> tuple[PipelineModel, dict, DataFrame]:
-    """Fitted preparation, fitted models by name, and the prepared test rows."""
+    """Fitted preparation, fitted models by name, and the prepared test rows.
+
+    ``seconds`` is filled with the training time of each model.
+    """
     train, test = split.parts(table, SPLIT)
     names = feature_names(table, options)
     weight = None
     if options.class_weights:
         weight = "class_weight"
         train = with_class_weight(train, fixed.ACCIDENT_LABEL, weight)
-    preparation = models.fit_preparation(train, names)
+    preparation = models.fit_preparation(train, names, population=options.scaling == "population")
     ready = preparation.transform(train)
     estimators = {
         "RandomForest": models.forest(fixed.ACCIDENT_LABEL, weight, **dict(options.forest)),
@@ -175,17 +191,45 @@ def train_models(
             fixed.ACCIDENT_LABEL, weight, **dict(options.logistic)
         ),
     }
-    fitted = {name: estimator.fit(ready) for name, estimator in estimators.items()}
+    fitted = {}
+    for name, estimator in estimators.items():
+        started = time.monotonic()
+        fitted[name] = estimator.fit(ready)
+        if seconds is not None:
+            seconds[name] = time.monotonic() - started
     return preparation, fitted, preparation.transform(test)
 
 
-def run(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataFrame:
-    """(model, metric, value) of both models on the test rows."""
-    _, fitted, test = train_models(features(accidents, options), options)
+def run(
+    accidents: DataFrame, options: SeverityOptions = DEFAULTS, report: bool = False
+) -> DataFrame:
+    """(model, metric, value) of both models on the test rows.
+
+    With ``report`` also the seconds each model took to train and how many train and test rows
+    were skipped because a feature was missing.
+    """
+    table = features(accidents, options)
+    seconds: dict[str, float] = {}
+    _, fitted, test = train_models(table, options, seconds)
     tables = [
         metrics.metric_table(
             metrics.classification_metrics(model.transform(test), fixed.ACCIDENT_LABEL), name
         )
         for name, model in fitted.items()
     ]
-    return tables[0].unionByName(tables[1])
+    if report:
+        tables.append(_report(table, options, seconds))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _report(table: DataFrame, options: SeverityOptions, seconds: dict[str, float]) -> DataFrame:
+    missing = incomplete(table, feature_names(table, options))
+    side = {part: quoted(SPLIT) == part for part in (split.TRAIN, split.TEST)}
+    skipped = table.agg(
+        *[F.count_if(missing & rows).cast("double").alias(f"skipped_{part}_rows") for part, rows in side.items()]
+    )
+    times = table.sparkSession.createDataFrame(
+        [(model, "training_seconds", took) for model, took in seconds.items()],
+        "model string, metric string, value double",
+    )
+    return times.unionByName(metrics.metric_table(skipped, "all"))

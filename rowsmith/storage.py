@@ -6,6 +6,7 @@ files, so a lost executor costs a re-read and not a second pass over the input.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,21 +15,36 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+#: Folders for masters with one JVM, where no other machine has to reach them; by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local default only on local masters."""
+    """The folder named by ``spark.checkpoint.dir``; one of this machine only on one-JVM masters."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
     from_context = spark.sparkContext.getCheckpointDir()
     if from_context:
         return from_context.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(
             f"set {CHECKPOINT_SETTING} to a folder that every executor can reach"
         )
-    folder = tempfile.mkdtemp(prefix="rowsmith-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="rowsmith-")
+    return _LOCAL_FOLDERS[application]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has written below the shared folder.
+
+    Results that still read these tables must be written elsewhere before.
+    """
+    folder = f"{shared_folder(spark)}/rowsmith/{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

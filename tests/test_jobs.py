@@ -117,7 +117,14 @@ def test_command_line(spark, accidents, tmp_path):
     accidents.write.csv(str(tmp_path / "accidents"), header=True)
     main(["severity", str(tmp_path / "accidents"), str(tmp_path / "out"), "--variant", "notebook"])
     lines = [r["value"] for r in spark.read.text(str(tmp_path / "out" / "lines")).collect()]
-    assert len(lines) == 6 and any(line.startswith("RandomForest accuracy: 0.") for line in lines)
+    assert len(lines) == 10 and any(line.startswith("RandomForest accuracy: 0.") for line in lines)
+    assert any(line.startswith("LogisticRegression training_seconds: ") for line in lines)
+    rows = {(r["model"], r["metric"]): r["value"] for r in spark.read.parquet(str(tmp_path / "out" / "table")).collect()}
+    options = severity.VARIANTS["notebook"]
+    read = read_delimited(spark, str(tmp_path / "accidents"), fixed.ACCIDENT_SCHEMA)
+    table = severity.features(read, options)
+    whole = table.dropna(subset=severity.feature_names(table, options)).count()
+    assert rows["all", "skipped_train_rows"] + rows["all", "skipped_test_rows"] == 4000 - whole > 0
     main(["readings", "500", str(tmp_path / "readings")])
     assert spark.read.parquet(str(tmp_path / "readings" / "totals")).count() == 70
 
@@ -149,3 +156,45 @@ def test_intrusion_bad_number(spark):
     planted = records.withColumn("duration", F.when(F.rand(1) < 0.1, "bad").otherwise(F.col("duration")))
     assert intrusion.clean(planted).filter("duration is null").count() > 0
     assert intrusion.run(planted, planted, handle_invalid="skip").first()["value"] > 0.9
+
+
+def test_intrusion_command_line(spark, tmp_path):
+    from rowsmith.__main__ import main
+
+    events = spark.range(600).selectExpr("id as event_id", "current_timestamp() as ts")
+    records = intrusion_records(events).drop("row_id")
+    planted = records.withColumn("duration", F.when(F.rand(1) < 0.1, "bad").otherwise(F.col("duration")))
+    records.write.csv(str(tmp_path / "train"))
+    planted.write.csv(str(tmp_path / "test"))
+    main(["intrusion", str(tmp_path / "train"), str(tmp_path / "test"), str(tmp_path / "out"), "--handle-invalid", "skip"])
+    found = {r["metric"]: r["value"] for r in spark.read.parquet(str(tmp_path / "out" / "table")).collect()}
+    bad = spark.read.csv(str(tmp_path / "test")).filter("_c0 = 'bad'").count()
+    assert found["auc"] > 0.9 and found["training_seconds"] > 0 and found["skipped_test_rows"] == bad
+
+
+def test_population_scaling(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from rowsmith.operators.models import SCALED, fit_preparation
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (6.0,)], "x double")
+    fitted = fit_preparation(df, ["x"], population=True).transform(df)
+    values = [r[0][0] for r in fitted.select(vector_to_array(SCALED)).collect()]
+    assert sum(v * v for v in values) == pytest.approx(3)
+
+
+def test_area_of_saturated_scores(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    from rowsmith.operators import metrics
+
+    n = F.col("id")
+    margin = (n * 37 % 101 + 40).cast("double")
+    df = spark.range(400).select(
+        F.when(n % 3 == 0, 1).otherwise(0).alias("label"),
+        array_to_vector(F.array(-margin, margin)).alias("rawPrediction"),
+    )
+    area = metrics.area_under_roc(metrics.positive_score(df), "label", "score").first()[0]
+    expected = BinaryClassificationEvaluator(labelCol="label", numBins=0).evaluate(df.withColumn("label", F.col("label").cast("double")))
+    assert area == pytest.approx(expected)
