@@ -19,7 +19,7 @@ from rowsmith.operators.columns import quoted
 from rowsmith.plans import intrusion, severity
 from rowsmith.plans.catalog import ENTRIES
 from rowsmith.sources.delimited import read_delimited, write_delimited
-from rowsmith.sources.derived import accident_records, intrusion_records
+from rowsmith.plans.catalog.derived_records import accident_records, intrusion_records
 from rowsmith.storage import materialize, scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -6,6 +6,7 @@ from rowsmith.plans.catalog import (  # noqa: F401
     evaluation,
     jobs,
     missing,
+    model_checks,
     preparation,
     projections,
     selection,

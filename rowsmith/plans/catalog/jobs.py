@@ -9,7 +9,7 @@ from rowsmith.operators import metrics, models, split
 from rowsmith.plans import intrusion, severity
 from rowsmith.plans.catalog.registry import query, table
 from rowsmith.sources.delimited import read_delimited, write_delimited
-from rowsmith.sources.derived import accident_records, intrusion_records
+from rowsmith.plans.catalog.derived_records import accident_records, intrusion_records
 from rowsmith.storage import scratch_path
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

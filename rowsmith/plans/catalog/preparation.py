@@ -8,7 +8,7 @@ from rowsmith import fixed_values as fixed
 from rowsmith.operators.columns import quoted
 from rowsmith.plans import intrusion, severity
 from rowsmith.plans.catalog.registry import query, table
-from rowsmith.sources.derived import FLAG_PERIODS, WEATHER, WIND, accident_records, intrusion_records
+from rowsmith.plans.catalog.derived_records import FLAG_PERIODS, WEATHER, WIND, accident_records, intrusion_records
 
 
 def _sql_list(values) -> str:

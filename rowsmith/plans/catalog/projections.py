@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rowsmith.operators import columns as cols
@@ -37,7 +38,8 @@ def flagship_part_of_day(spark, folder):
     counts = encoded.groupBy("part_of_day", "day_flag").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("event_type_freq"), 6).alias("mean_freq")
     )
-    total = counts.agg(F.sum("n")).scalar()
+    # The window sees one row per part of day and flag, so the events are read once after the fit.
+    total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("percent", F.round(F.col("n") * 100.0 / total, 6))
 
 

@@ -12,16 +12,17 @@ from rowsmith.storage import scratch_path
 
 @query(
     "number_range",
-    """select x, x * 2 as doubled, x % 2 = 0 as even
-    from (select unnest(range((select count(*) from orders))) as x)""",
+    """select x, x * 2 as doubled, x % 2 = 0 as even, o_totalprice
+    from (select unnest(range((select min(o_orderkey) from orders), (select max(o_orderkey) + 1 from orders))) as x)
+    left join orders on o_orderkey = x""",
 )
 def numbers(spark, folder):
-    """As many numbers as there are orders, generated on the executors."""
-    n = table(spark, folder, "orders").count()
+    """All numbers between the smallest and the largest order key, with the order of each."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     x = F.col("x")
-    return number_range(spark, 0, n).select(
-        "x", (x * 2).alias("doubled"), (x % 2 == 0).alias("even")
-    )
+    rows = number_range(spark, low, high + 1).join(orders, x == F.col("o_orderkey"), "left")
+    return rows.select("x", (x * 2).alias("doubled"), (x % 2 == 0).alias("even"), "o_totalprice")
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]

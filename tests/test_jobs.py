@@ -9,7 +9,7 @@ from rowsmith import fixed_values as fixed
 from rowsmith.operators import split
 from rowsmith.plans import intrusion, severity
 from rowsmith.sources.delimited import read_delimited
-from rowsmith.sources.derived import accident_records, intrusion_records
+from rowsmith.plans.catalog.derived_records import accident_records, intrusion_records
 
 
 @pytest.fixture(scope="module")
