@@ -24,12 +24,16 @@ from rowsmith.llm.components import components
 from rowsmith.llm.tables import Scratch, fresh, quoted
 
 SIMILARITY = 0.8
-SHINGLE_CHARS = 9
+#: Bytes of UTF-8 per shingle; eight fill one 64-bit number, so sets of shingles are exact.
+SHINGLE_CHARS = 8
 BANDS = 9
 ROWS = 4
 #: Shorter lines are left alone: headings, greetings and single words repeat by nature.
 MIN_WORDS = 5
 TILE = 512
+BROADCAST_BYTES = 32 * 1024 * 1024
+_CHUNK = 8_192  # shingles counted at once
+_HEADS = 4_096  # sets of shingles kept by a task
 
 
 def recall(similarity: float = SIMILARITY) -> float:
@@ -43,38 +47,47 @@ def normal_line(line: str) -> bytes:
     return " ".join(parts).encode("utf-8", "surrogatepass") if len(parts) >= MIN_WORDS else b""
 
 
-def shingle_hashes(line: bytes) -> np.ndarray:
-    """A 64-bit hash of each run of ``SHINGLE_CHARS`` bytes; of the whole line if it is shorter."""
-    octets = np.frombuffer(line, np.uint8).astype(np.uint64)
-    width = min(SHINGLE_CHARS, len(octets))
-    n = len(octets) - width + 1
-    # Eight bytes fill one word; the rest is mixed in.
-    packed = np.zeros(n, np.uint64)
-    for i in range(min(8, width)):
-        packed |= octets[i : i + n] << np.uint64(8 * i)
-    for i in range(8, width):
-        packed ^= octets[i : i + n] * np.uint64(0x9E3779B97F4A7C15)
-    packed ^= packed >> np.uint64(31)
-    packed *= np.uint64(0xBF58476D1CE4E5B9)
-    packed ^= packed >> np.uint64(29)
-    packed *= np.uint64(0x94D049BB133111EB)
-    return packed ^ (packed >> np.uint64(32))
-
-
 def _multipliers() -> np.ndarray:
     return np.random.default_rng(20_240_602).integers(1, 2**32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
 
 
+def shingles(line: bytes) -> np.ndarray:
+    """The shingle from each place of a line on, as a number; places near the end have none."""
+    octets = np.frombuffer(line, np.uint8)
+    windows = np.lib.stride_tricks.sliding_window_view(octets, SHINGLE_CHARS)
+    return np.ascontiguousarray(windows).view("<u8").ravel()
+
+
+def shingle_set(line: bytes) -> np.ndarray:
+    """Sorted different shingles of a line."""
+    found = np.sort(shingles(line))
+    fresh_ones = np.empty(len(found), bool)
+    fresh_ones[:1] = True
+    np.not_equal(found[1:], found[:-1], out=fresh_ones[1:])
+    return found[fresh_ones]
+
+
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """A 32-bit hash per shingle."""
+    mixed = numbers * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed >>= np.uint64(32)
+    return mixed.astype(np.uint32)
+
+
 def signatures(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per line and band."""
-    parts = [shingle_hashes(line) for line in lines]
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1]))
-    low = (np.concatenate(parts) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    minima = np.empty((len(multipliers), len(lines)), np.uint32)
+    """A 64-bit hash per line and band. Every line has at least ``SHINGLE_CHARS`` bytes."""
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = np.cumsum(lengths)
+    low = _mixed(shingles(b"".join(lines)))
+    # The shingles of a line, then those that reach into the next line, which are left out.
+    cuts = np.stack([ends - lengths, ends - SHINGLE_CHARS + 1], axis=1).ravel()[:-1]
+    minima = np.empty((len(multipliers), len(lines)), np.uint64)
+    mixed = np.empty_like(low)
     for k, m in enumerate(multipliers):
-        mixed = low * m
-        minima[k] = np.minimum.reduceat(mixed ^ (mixed >> np.uint32(15)), starts)
-    minima = minima.astype(np.uint64)
+        np.multiply(low, m, out=mixed)
+        minima[k] = np.minimum.reduceat(mixed, cuts)[::2]
     bands = np.empty((BANDS, len(lines)), np.uint64)
     for b in range(BANDS):
         value = np.full(len(lines), b + 1, np.uint64)
@@ -85,17 +98,36 @@ def signatures(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
     return bands.T
 
 
-def jaccard(one: bytes, two: bytes) -> float:
-    """Exact similarity of the sets of character shingles."""
-    a, b = (
-        {x[i : i + SHINGLE_CHARS] for i in range(max(1, len(x) - SHINGLE_CHARS + 1))} for x in (one, two)
-    )
-    common = len(a & b)
-    return common / (len(a) + len(b) - common)
+def jaccard(one: np.ndarray, two: np.ndarray) -> float:
+    """Exact similarity of two sorted sets of shingles."""
+    both = np.sort(np.concatenate([one, two]))
+    common = int((both[1:] == both[:-1]).sum())
+    return common / (len(one) + len(two) - common)
 
 
-def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, place, high, low, line): normalised lines with their 128-bit hash; none that are left alone."""
+def similar_pairs(rows: list[bytes], columns: list[bytes] | None = None) -> np.ndarray:
+    """Which of ``rows`` and ``columns`` (``rows`` if none) are similar, by exact counts of common shingles."""
+    sets = [shingle_set(line) for line in (*rows, *(columns or []))]
+    sizes = np.array([len(x) for x in sets], np.float32)
+    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    numbers, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    n = len(rows)
+    first, second = slice(0, n), slice(n if columns else 0, None)
+    common = np.zeros((n, len(sizes[second])), np.float32)
+    for at in range(0, len(numbers), _CHUNK):
+        width = min(_CHUNK, len(numbers) - at)
+        here = slice(None) if width == len(numbers) else (flat >= at) & (flat < at + width)
+        has = np.zeros((len(sets), width), np.float32)
+        has[owner[here], flat[here] - at] = 1
+        common += has[first] @ has[second].T
+    return common >= np.float32(SIMILARITY) * (sizes[first, None] + sizes[None, second] - common) - 1e-3
+
+
+def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_line: bool = True) -> DataFrame:
+    """(doc_id, place, high, low, line): normalised lines with their 128-bit hash; none that are left alone.
+
+    The line itself is null unless asked for.
+    """
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +144,8 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()),
-                    pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(lines, pa.binary()),
+                    pa.array(digests[:, 0]), pa.array(digests[:, 1]),
+                    pa.array(lines if with_line else [None] * len(lines), pa.binary()),
                 ],
                 ["doc_id", "place", "high", "low", "line"],
             )
@@ -130,7 +163,7 @@ def _with_bands(lines: DataFrame) -> DataFrame:
             texts, found, at = batch.column("line").to_pylist(), [], 0
             while at < len(texts):
                 end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 20):
+                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 18):
                     size += len(texts[end])
                     end += 1
                 found.append(signatures(texts[at:end], multipliers))
@@ -146,31 +179,48 @@ def _with_bands(lines: DataFrame) -> DataFrame:
 
 
 def _similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    heads: dict[int, np.ndarray] = {}
     for frame in frames:
-        good = [jaccard(a, b) >= SIMILARITY for a, b in zip(frame["line_a"], frame["line_b"])]
+        good = []
+        for a, line_a, line_b in zip(frame["a"], frame["line_a"], frame["line_b"]):
+            if a not in heads:
+                if len(heads) >= _HEADS:
+                    heads.clear()
+                heads[a] = shingle_set(line_a)
+            good.append(jaccard(heads[a], shingle_set(line_b)) >= SIMILARITY)
         yield frame.loc[good, ["a", "b"]]
 
 
-def _connect(group: pd.DataFrame) -> pd.DataFrame:
+def _connect(group: pa.Table) -> pa.Table:
     """Links between members of a tile pair that are not connected yet."""
-    group = group.drop_duplicates(["side", "node"])
-    label = dict(zip(group["root"], group["root"]))
+    columns = [group.column(c).to_pylist() for c in ("side", "node", "root", "line")]
+    sides = [{n: (r, x) for s, n, r, x in zip(*columns) if s == side} for side in (0, 1)]
+    nodes = [list(side) for side in sides]
+    label = {root: root for side in sides for root, _ in side.values()}
 
     def find(x: int) -> int:
         while label[x] != x:
             label[x] = x = label[label[x]]
         return x
 
-    rows = group[group["side"] == 0][["node", "root", "line"]].values.tolist()
-    columns = group[group["side"] == 1][["node", "root", "line"]].values.tolist()
     links = []
-    for a, root_a, line_a in rows:
-        for b, root_b, line_b in columns:
-            one, two = find(root_a), find(root_b)
-            if one != two and jaccard(line_a, line_b) >= SIMILARITY:
+    # A tile that is paired with itself comes as rows alone.
+    lines = [[x for _, x in side.values()] for side in sides]
+    if lines[0]:
+        close = similar_pairs(*lines)
+        others = 1 if lines[1] else 0
+        for i, j in zip(*np.nonzero(close)):
+            a, b = nodes[0][i], nodes[others][j]
+            one, two = find(sides[0][a][0]), find(sides[others][b][0])
+            if one != two:
                 label[two] = one
                 links.append((a, b))
-    return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _lookup(df: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join with a written table of a few longs per row, broadcast if its rows allow it."""
+    return df.join(F.broadcast(small) if small.count() * 64 <= BROADCAST_BYTES else small, key, how)
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -185,34 +235,37 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     known, _ = scratch.write(
         _with_bands(distinct).withColumn("node", F.monotonically_increasing_id()), "distinct_lines"
     )
-    banded = known.select("node", F.posexplode("bands").alias("band", "value"))
-    heads = banded.groupBy("band", "value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
-    heads = heads.filter("members > 1")
+    banded = known.select("node", F.explode("bands").alias("value"))
+    counted = banded.groupBy("value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
     # Only buckets with company are kept; they are few against all bands.
-    members, _ = scratch.write(
-        banded.join(heads, ["band", "value"]).select("node", "head", "band", "value"), "line_buckets"
-    )
+    heads, _ = scratch.write(counted.filter("members > 1").select("value", "head"), "line_heads")
+    members, _ = scratch.write(_lookup(banded, heads, "value"), "line_buckets")
+    wanted, _ = scratch.write(members.select("node").distinct(), "line_members")
+    text_of, _ = scratch.write(_lookup(known.select("node", "line"), wanted, "node", "left_semi"), "member_lines")
     pairs = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    text_of = known.select("node", "line")
-    both = (
-        pairs.join(text_of.toDF("a", "line_a"), "a").join(text_of.toDF("b", "line_b"), "b")
-    )
+    both = pairs.join(text_of.toDF("a", "line_a"), "a").join(text_of.toDF("b", "line_b"), "b")
     accepted, _ = scratch.write(both.mapInPandas(_similar, "a long, b long"), "line_pairs")
     star, _ = scratch.write(components(accepted), "line_components")
     rooted = members.join(star, "node", "left").withColumn("root", F.coalesce("component", "node"))
     mixed = (
-        rooted.groupBy("band", "value")
-        .agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"), F.count(F.lit(1)).alias("members"))
-        .filter("low_root <> high_root")
-        .withColumn("tiles", F.ceil(F.col("members") / TILE).cast("int"))
+        rooted.groupBy("value")
+        .agg(
+            F.min("root").alias("low_root"), F.max("root").alias("high_root"), F.count(F.lit(1)).alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("same"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("same_too"),
+        )
+        # All pairs of a bucket of two have been compared, and buckets of equal members are one.
+        .filter("low_root <> high_root and members > 2")
+        .groupBy("same", "same_too", "members")
+        .agg(F.min("value").alias("value"))
+        .select("value", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
     )
-    open_ = rooted.join(mixed.select("band", "value", "tiles"), ["band", "value"])
+    open_ = rooted.join(mixed, "value")
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
-    rows = open_.select("band", "value", "node", "root", F.lit(0).alias("side"), tile.alias("i"), F.explode(others).alias("j"))
-    columns = open_.select("band", "value", "node", "root", F.lit(1).alias("side"), F.explode(others).alias("i"), tile.alias("j"))
-    tiles = rows.filter("i <= j").union(columns.filter("i <= j")).join(text_of, "node")
-    more = tiles.groupBy("band", "value", "i", "j").applyInPandas(_connect, "a long, b long")
+    rows = open_.select("value", "node", "root", F.lit(0).alias("side"), tile.alias("i"), F.explode(others).alias("j"))
+    columns = open_.select("value", "node", "root", F.lit(1).alias("side"), F.explode(others).alias("i"), tile.alias("j"))
+    tiles = rows.filter("i <= j").union(columns.filter("i < j")).join(text_of, "node")
+    more = tiles.groupBy("value", "i", "j").applyInArrow(_connect, "a long, b long")
     late, _ = scratch.write(more, "line_pairs")
     grown = star.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late)
     final, _ = scratch.write(components(grown), "line_components")
@@ -224,7 +277,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "high", "low", F.col("kept.doc_id").alias("first_doc"), F.col("kept.place").alias("first_place")
     )
     written, _ = scratch.write(classes, "line_classes")
-    return found.select("doc_id", "place", "high", "low"), written
+    return lines_of(docs, doc_id, text, with_line=False).select("doc_id", "place", "high", "low"), written
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -46,10 +46,10 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
-    def write(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
         """Write ``df`` and return the scan of the files with their path. Ends the lineage."""
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def drop(self, path: str) -> None:

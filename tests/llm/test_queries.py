@@ -99,7 +99,7 @@ def test_line_dedup_equals_brute_force(docs, results):
             parts = line.lower().split()
             if len(parts) >= 5:
                 lines.setdefault(" ".join(parts).encode(), set()).add((i, place))
-    sets = {x: {x[i : i + 9] for i in range(len(x) - 8)} for x in lines}
+    sets = {x: {x[i : i + 8] for i in range(len(x) - 7)} for x in lines}
 
     def similar(a, b):
         return len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
