@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +39,8 @@ CALIBRATION = 5
 SEED = 20_240_603
 THRESHOLD = 0.3
 _KNOWN_WORDS = 1 << 18
-_RUN = 4_096  # windows run at once
+_WORDS = 1 << 13  # words whose n-grams are held as 64-bit numbers at once
+_RUN = 2_048  # windows run at once
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -55,6 +55,22 @@ def windows(n: int) -> list[tuple[int, int]]:
     return [(s, min(WINDOW, n - s)) for s in starts]
 
 
+def window_logits(network: Network, gates: np.ndarray, rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Logits of all windows of each text, given as rows of ``gates``; row 0 fills up short windows."""
+    spans = [windows(len(r)) for r in rows]
+    total = sum(map(len, spans))
+    index, lengths = np.zeros((total, WINDOW), np.int32), np.zeros(total, np.int32)
+    at = 0
+    for row, span in zip(rows, spans):
+        padded = np.zeros(span[-1][0] + WINDOW, np.int32)
+        padded[: len(row)] = row
+        index[at : at + len(span)] = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+        lengths[at : at + len(span)] = [n for _, n in span]
+        at += len(span)
+    found = [network.run(gates, index[i : i + _RUN], lengths[i : i + _RUN]) for i in range(0, total, _RUN)]
+    return np.split(np.concatenate(found), np.cumsum([len(s) for s in spans])[:-1])
+
+
 @dataclass
 class Scorer:
     """A trained network with its calibration. Without a network the score is constant."""
@@ -91,25 +107,12 @@ class Scorer:
                 self.gates = grown
             self.gates[start:end] = self.network.gates(self.network.word_inputs(*hashed_words(new)))
         find = self.known.__getitem__
-        return [np.fromiter(map(find, words), np.int64, len(words)) for words in texts]
+        return [np.fromiter(map(find, words), np.int32, len(words)) for words in texts]
 
     def window_logits(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Logits of all windows of each text."""
         rows = self._rows(texts)
-        spans = [windows(len(r)) for r in rows]
-        total = sum(map(len, spans))
-        index, lengths = np.zeros((total, WINDOW), np.int64), np.zeros(total, np.int64)
-        at = 0
-        for row, span in zip(rows, spans):
-            padded = np.zeros(span[-1][0] + WINDOW, np.int64)
-            padded[: len(row)] = row
-            index[at : at + len(span)] = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
-            lengths[at : at + len(span)] = [n for _, n in span]
-            at += len(span)
-        found = [
-            self.network.run(self.gates, index[i : i + _RUN], lengths[i : i + _RUN]) for i in range(0, total, _RUN)
-        ]
-        return np.split(np.concatenate(found), np.cumsum([len(s) for s in spans])[:-1])
+        return window_logits(self.network, self.gates, rows)
 
     def raw(self, texts: list[list[str]]) -> np.ndarray:
         """Logit of the most toxic window per text. Texts are taken in groups of bounded size."""
@@ -133,90 +136,126 @@ class Scorer:
         return logistic(self.slope * out + self.shift)
 
 
-def _log_odds(present: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
-    """How much likelier a bucket is in a toxic than in a clean text; near 0 for what few texts have."""
-    seen = np.zeros((2, buckets))
-    for ids, y in zip(present, labels):
-        seen[y, ids] += 1
-    rate = np.bincount(labels, minlength=2)[:, None] / len(labels)
-    share = (seen + PRIOR_TEXTS * rate) / rate
-    return (np.clip(np.log(share[1] / share[0]), -2, 4) / 2).astype(np.float32)
+@dataclass
+class Corpus:
+    """Texts as numbers of their different words, from 1; 0 is no word. Holds each word once."""
+
+    rows: list[np.ndarray]
+    labels: np.ndarray
+    buckets: np.ndarray
+    grams: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str], labels: np.ndarray) -> Corpus:
+        place: dict[str, int] = {" ": 0}
+        rows = [
+            np.array([place.setdefault(w, len(place)) for w in words_of(t)], np.int32) for t in texts
+        ]
+        words = list(place)
+        parts = [hashed_words(words[at : at + _WORDS]) for at in range(0, len(words), _WORDS)]
+        return cls(rows, labels, *[np.concatenate([p[k].astype(np.int32) for p in parts]) for k in range(3)])
+
+    def __post_init__(self):
+        self.starts = np.cumsum(self.counts, dtype=np.int64) - self.counts
+
+    def grams_of(self, words: np.ndarray) -> np.ndarray:
+        """Buckets of the n-grams of some words, one word after the other."""
+        n = self.counts[words]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return self.grams[np.repeat(self.starts[words], n) + inside]
+
+    def inputs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.buckets[words], self.grams_of(words), self.counts[words]
+
+    def word_inputs(self, network: Network) -> np.ndarray:
+        """The network's inputs of all words."""
+        every = np.arange(len(self.counts))
+        parts = [every[at : at + _WORDS] for at in range(0, len(every), _WORDS)]
+        return np.concatenate([network.word_inputs(*self.inputs(part)) for part in parts])
+
+    def logits(self, network: Network, which: np.ndarray) -> list[np.ndarray]:
+        """Logits of all windows of some texts."""
+        gates = network.gates(self.word_inputs(network))
+        found = []
+        for at in range(0, len(which), 64):
+            found += window_logits(network, gates, [self.rows[i] for i in which[at : at + 64]])
+        return found
+
+    def log_odds(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How much likelier a bucket is in a toxic than in a clean text, of words and of n-grams.
+
+        Near 0 for what few texts have.
+        """
+        seen = [np.zeros((2, n)) for n in (WORD_BUCKETS, GRAM_BUCKETS)]
+        for i in which:
+            words = np.unique(self.rows[i])
+            seen[0][self.labels[i], np.unique(self.buckets[words])] += 1
+            seen[1][self.labels[i], np.unique(self.grams_of(words))] += 1
+        rate = np.bincount(self.labels[which], minlength=2)[:, None] / len(which)
+        shares = [(x + PRIOR_TEXTS * rate) / rate for x in seen]
+        return tuple((np.clip(np.log(x[1] / x[0]), -2, 4) / 2).astype(np.float32) for x in shares)
 
 
 def train(sample: Sample, epochs: int = EPOCHS) -> Scorer:
     """Fit a scorer on most of the sample and calibrate it on the rest; constant if a class is missing."""
-    if len(np.unique(sample.labels)) < 2:
+    labels = sample.labels
+    if len(np.unique(labels)) < 2:
         share = (sample.class_rows[1] + 0.5) / (sum(sample.class_rows) + 1)
         return Scorer(None, shift=float(np.log(share / (1 - share))))
-    texts = [words_of(t) for t in sample.texts]
+    corpus = Corpus.of(sample.texts, labels)
     # The same share of both classes; a class of few texts is used for both.
-    place = np.empty(len(texts), np.int64)
+    place = np.empty(len(labels), np.int64)
     for y in (0, 1):
-        own = np.flatnonzero(sample.labels == y)
+        own = np.flatnonzero(labels == y)
         place[own] = np.arange(len(own))
     rest = place % CALIBRATION == CALIBRATION - 1
-    if len(np.unique(sample.labels[rest])) < 2:
-        rest = np.ones(len(texts), bool)
+    if len(np.unique(labels[rest])) < 2:
+        rest = np.ones(len(labels), bool)
     trained = ~rest if not rest.all() else rest
-    network = _fit([t for t, use in zip(texts, trained) if use], sample.labels[trained], epochs)
-    raw = Scorer(network).raw([t for t, use in zip(texts, rest) if use])
-    slope, shift = calibrate(raw, sample.labels[rest], sample.weights[rest])
+    network = _fit(corpus, np.flatnonzero(trained), epochs)
+    raw = np.array([x.max() for x in corpus.logits(network, np.flatnonzero(rest))], float)
+    slope, shift = calibrate(raw, labels[rest], sample.weights[rest])
     return Scorer(network, slope, shift)
 
 
-def _fit(texts: list[list[str]], labels: np.ndarray, epochs: int) -> Network:
+def _fit(corpus: Corpus, which: np.ndarray, epochs: int) -> Network:
     random = np.random.default_rng(SEED)
-    vocabulary = list(Counter(w for words in texts for w in words))
-    place = {w: i for i, w in enumerate(vocabulary)}
-    buckets, grams, counts = hashed_words(vocabulary or [""])
-    starts = np.cumsum(counts) - counts
-    rows = [np.fromiter((place[w] for w in words), np.int64, len(words)) for words in texts]
-    of_word = [np.unique(buckets[np.unique(r)]) for r in rows]
-    of_gram = [
-        np.unique(np.concatenate([grams[starts[i] : starts[i] + counts[i]] for i in np.unique(r)] or [np.empty(0, np.int64)]))
-        for r in rows
-    ]
-    network = Network.start(_log_odds(of_word, labels, WORD_BUCKETS), _log_odds(of_gram, labels, GRAM_BUCKETS), SEED)
-    first = network.word_inputs(buckets, grams, counts)
+    labels = corpus.labels[which]
+    network = Network.start(*corpus.log_odds(which), SEED)
+    first = corpus.word_inputs(network)
     hint = first[:, 0] + 2 * first[:, first.shape[1] // 2]
     guesses = [
-        np.array([np.sort(hint[r[s : s + n]])[-3:].sum() if n else -9.0 for s, n in windows(len(r))]) for r in rows
+        np.array([np.sort(hint[r[s : s + n]])[-3:].sum() if n else -9.0 for s, n in windows(len(r))])
+        for r in (corpus.rows[i] for i in which)
     ]
     steps = Adam(network, RATE)
-    scorer = Scorer(network)
     per_epoch = sum(min(len(g), 2 if y else 6) for g, y in zip(guesses, labels)) / BATCH
     epochs = max(epochs, math.ceil(MIN_STEPS / max(1, math.ceil(per_epoch))))
     renewed = {epochs // 4, epochs // 2, 3 * epochs // 4} - {0}
     for epoch in range(epochs):
         if epoch in renewed:
-            scorer.forget()
-            guesses = _all_logits(scorer, texts)
+            guesses = corpus.logits(network, which)
         chosen = []
-        for d, (guess, y) in enumerate(zip(guesses, labels)):
+        for d, guess, y in zip(which, guesses, labels):
             best = np.argsort(-guess)[: 2 if y and 2 * epoch < epochs else 1 if y else 4]
             drawn = [] if y else random.integers(0, len(guess), 2).tolist()
-            chosen += [(d, int(i)) for i in {*best.tolist(), *drawn}]
+            chosen += [(d, i) for i in {*best.tolist(), *drawn}]
         order = random.permutation(len(chosen))
         for at in range(0, len(order), BATCH):
-            _step(network, steps, [chosen[i] for i in order[at : at + BATCH]], rows, labels, (buckets, grams, counts, starts))
+            _step(network, steps, [chosen[i] for i in order[at : at + BATCH]], corpus)
         steps.rate = RATE * 0.2 ** ((epoch + 1) / epochs)
     return network
 
 
-def _all_logits(scorer: Scorer, texts: list[list[str]]) -> list[np.ndarray]:
-    return [x for at in range(0, len(texts), 64) for x in scorer.window_logits(texts[at : at + 64])]
-
-
-def _step(network, steps, batch, rows, labels, words) -> None:
-    buckets, grams, counts, starts = words
+def _step(network: Network, steps: Adam, batch: list[tuple[int, int]], corpus: Corpus) -> None:
     index, lengths = np.zeros((len(batch), WINDOW), np.int64), np.zeros(len(batch), np.int64)
     for i, (d, window) in enumerate(batch):
-        part = rows[d][window * STRIDE : window * STRIDE + WINDOW]
+        part = corpus.rows[d][window * STRIDE : window * STRIDE + WINDOW]
         index[i, : len(part)], lengths[i] = part, len(part)
     used, local = np.unique(index, return_inverse=True)
-    own = np.concatenate([grams[starts[u] : starts[u] + counts[u]] for u in used])
-    y = labels[[d for d, _ in batch]]
-    steps.apply(network.gradients((buckets[used], own, counts[used]), local.reshape(index.shape), lengths, y))
+    y = corpus.labels[[d for d, _ in batch]]
+    steps.apply(network.gradients(corpus.inputs(used), local.reshape(index.shape), lengths, y))
 
 
 def scored(docs: DataFrame, scorer: Scorer, text: str = "text", name: str = "score") -> DataFrame:
