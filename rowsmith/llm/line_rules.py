@@ -2,7 +2,7 @@
 
 One pass over the texts counts words, symbols and repeats and hashes each normalised line.
 Distinct texts per host and line are counted in two steps, so that no line, however frequent,
-meets in one task. Lines above the limits are boilerplate; a document that loses too much to
+meets in one task. Lines above the limit are boilerplate; a document that loses too much to
 them is depleted and rejected. Exact copies of a text are one document to the counts, or each
 copied document would make its own lines frequent.
 """
@@ -22,9 +22,8 @@ from rowsmith.llm.tables import Scratch, fresh, quoted
 MIN_WORDS = 50
 #: Percentage of words inside repeated three-word windows above which a text fails.
 MAX_REPEAT_PERCENT = 50
-#: A line is removed above this many documents of a host and above this percentage of them.
+#: A line is removed above this many documents of a host, however large the host is.
 MAX_DOCUMENTS = 20
-MAX_PERCENT = 20
 #: A document is depleted if removed lines hold more than this percentage of its words.
 MAX_REMOVED_PERCENT = 50
 _SYMBOLS = "#*$%&|<>"
@@ -92,28 +91,22 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: st
     return narrow.mapInArrow(run, f"{schema}, lines array<long>, line_words array<int>")
 
 
-def frequent_lines(
-    counted: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT
-) -> DataFrame:
-    """(host, line) found in more distinct texts of the host than both limits allow."""
-    hosts = counted.select("host", "same").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    lines = (
+def frequent_lines(counted: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """(host, line) found in more distinct texts of the host than the limit allows."""
+    return (
         counted.select("host", "same", F.explode("lines").alias("line"))
         .filter("line <> 0")
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("documents"))
         .filter(F.col("documents") > max_documents)
+        .select("host", "line")
     )
-    above = F.col("documents") * 100 > F.col("n") * max_percent
-    same_host = F.col("host").eqNullSafe(F.col("of"))
-    return lines.join(hosts.withColumnRenamed("host", "of"), same_host).filter(above).select("host", "line")
 
 
 def verdicts(
     docs: DataFrame,
     max_documents: int = MAX_DOCUMENTS,
-    max_percent: int = MAX_PERCENT,
     doc_id: str = "doc_id",
     text: str = "text",
     host: str = "source",
@@ -127,7 +120,7 @@ def verdicts(
     scratch = Scratch(docs.sparkSession)
     marked = counts(docs, doc_id, text, host).withColumn("row", F.monotonically_increasing_id())
     counted, _ = scratch.write(marked, "line_counts")
-    frequent, _ = scratch.write(frequent_lines(counted, max_documents, max_percent), "frequent_lines")
+    frequent, _ = scratch.write(frequent_lines(counted, max_documents), "frequent_lines")
     each = counted.select(
         "row", F.col("host").alias("of"),
         F.explode(F.arrays_zip("lines", "line_words", F.sequence(F.lit(0), F.size("lines") - 1).alias("number"))).alias("l"),
