@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.shingles import SHARE, broadcast_blocks, is_contained, permutations, with_shingles
-from rowsmith.llm.tables import Scratch, quoted, rows_of
+from rowsmith.llm.tables import Scratch, numbered, quoted, rows_of
 
 MIN_RECALL = 0.99999
 #: Smallest number of shingles of each partition by size.
@@ -98,7 +98,8 @@ def decontaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """``docs`` without the documents that contain an item. Rows without an id stay."""
-    found = matches(docs, items, doc_id, text, item_id, item_text)
+    """``docs`` without the documents that contain an item. Each row is judged by its own text, whatever its id."""
+    rows, row = numbered(docs)
+    found = matches(rows, items, row, text, item_id, item_text)
     leaked, _ = Scratch(docs.sparkSession).write(found.select("doc_id").distinct(), "leaked")
-    return rows_of(docs, leaked, doc_id, "left_anti")
+    return rows_of(rows, leaked, row, "left_anti").drop(row)

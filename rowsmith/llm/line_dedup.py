@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
-from rowsmith.llm.tables import Scratch, fresh, quoted
+from rowsmith.llm.tables import Scratch, fresh, keyed_by_row, numbered, quoted
 
 SIMILARITY = 0.8
 #: Bytes of UTF-8 per shingle; eight fill one 64-bit number, so sets of shingles are exact.
@@ -300,17 +300,24 @@ def deduplicated(
 ) -> DataFrame:
     """``docs`` with the repeated lines taken out of their texts.
 
-    Documents stay, even those that lose every line; a null text stays null. ``n_chars``, if
-    there is such a column, follows the new text.
+    Each row is a document of its own, whatever its id: of equal or similar lines the first by
+    (doc_id, row, place) stays, a null id before all others. Documents stay, even those that
+    lose every line; a null text stays null. ``n_chars``, if there is such a column, follows the
+    new text.
     """
     scratch = Scratch(docs.sparkSession)
-    gone = repeated_lines(docs, doc_id, text).filter("not kept")
-    key, lines = fresh(docs, "__key"), fresh(docs, "__lines")
+    rows, row = numbered(docs)
+    _, classes = line_classes(keyed_by_row(rows, row, doc_id, text))
+    places = lines_of(rows, row, text, with_line=False).select("doc_id", "place", "high", "low")
+    kept = (F.col("doc_id") == F.col("first_doc.row")) & (F.col("place") == F.col("first_place"))
+    key, lines = fresh(rows, "__key"), fresh(rows, "__lines")
     # One row per document that loses a line, with at most as many numbers as it has lines.
     per_doc, _ = scratch.write(
-        gone.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("line").alias(lines)), "removed_lines"
+        places.join(classes, ["high", "low"]).filter(~kept)
+        .groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("place").alias(lines)),
+        "removed_lines",
     )
-    joined = docs.join(per_doc, quoted(doc_id).eqNullSafe(F.col(key)), "left")
+    joined = rows.join(per_doc, F.col(row) == F.col(key), "left")
     left = F.filter(F.split(quoted(text), "\n", -1), lambda line, i: ~F.array_contains(F.col(lines), i))
     found = joined.withColumn(text, F.when(F.col(lines).isNull(), quoted(text)).otherwise(F.array_join(left, "\n")))
     if n_chars in docs.columns:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
-from rowsmith.llm.tables import Scratch, fresh, quoted
+from rowsmith.llm.tables import Scratch, keyed_by_row, numbered, quoted, rows_of
 from rowsmith.operators.lookup import KeyTable, attach
 
 SHINGLE_WORDS = 4
@@ -264,12 +264,8 @@ def keep_one(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``docs`` without the documents that a smaller doc_id of their group stands for.
-
-    Rows without an id stay; rows that share an id stay or go together.
-    """
-    groups = near_duplicates(docs, shingle_words, max_bits, doc_id, text)
-    gone = groups.filter("component_id < doc_id").select("doc_id")
-    name = fresh(docs, "__gone")
-    gone = gone.toDF(name).distinct()
-    return docs.join(gone, quoted(doc_id) == F.col(name), "left_anti")
+    """One row of each group of ``docs``: the first by doc_id, a null id before all others, then by row."""
+    rows, row = numbered(docs)
+    groups = near_duplicates(keyed_by_row(rows, row, doc_id, text), shingle_words, max_bits)
+    gone = groups.filter("component_id.row <> doc_id.row").select("doc_id.row")
+    return rows_of(rows, gone, row, "left_anti").drop(row)

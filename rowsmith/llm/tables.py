@@ -58,6 +58,18 @@ class Scratch:
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written, with a number per row, and the name of that column."""
+    row = fresh(docs, "__row")
+    return Scratch(docs.sparkSession).write(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")[0], row
+
+
+def keyed_by_row(docs: DataFrame, row: str, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text) with the row number in the key: rows differ, and ties are broken, by (doc_id, row)."""
+    key = F.struct(quoted(doc_id).alias("id"), quoted(row).alias("row"))
+    return docs.select(key.alias("doc_id"), quoted(text).alias("text"))
+
+
 def rows_of(docs: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` whose key is (``left_semi``) or is not (``left_anti``) among ``ids``.
 

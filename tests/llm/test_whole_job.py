@@ -1,6 +1,6 @@
 """Rows on which operators once did less than the whole job."""
 
-from rowsmith.llm import line_rules
+from rowsmith.llm import decontaminate, line_dedup, line_rules, simhash
 
 
 def letters(n):
@@ -19,3 +19,30 @@ def test_line_of_few_documents_of_a_large_source_is_boilerplate(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = {r["doc_id"]: (r["base_failed"], r["removed_lines"], r["kept"]) for r in line_rules.verdicts(docs).collect()}
     assert found == {i: (False, [1], False) if i < 30 else (False, [], True) for i in range(2_020)}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_lines_are_removed_row_by_row(spark):
+    first, second, shared = prose(1, 9), prose(2, 9), prose(3, 9)
+    for key in (None, 7):
+        docs = frame(spark, [(key, f"{shared}\n{first}"), (key, f"{second}\n{shared}"), (key, f"{prose(4, 9)}\n{prose(5, 9)}")])
+        found = sorted(r["text"] for r in line_dedup.deduplicated(docs.coalesce(1)).collect())
+        assert found == sorted([f"{shared}\n{first}", second, f"{prose(4, 9)}\n{prose(5, 9)}"])
+
+
+def test_near_copies_are_dropped_row_by_row(spark):
+    one, two = prose(1), prose(2)
+    docs = frame(spark, [(None, one), (None, one), (None, two), (7, two), (5, prose(3)), (5, prose(3)), (5, prose(4))])
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(docs).collect())
+    assert found == sorted([(0, one), (0, two), (5, prose(3)), (5, prose(4))])
+
+
+def test_documents_are_decontaminated_row_by_row(spark):
+    item, leak = prose(1, 30), prose(2) + "\n" + prose(1, 30)
+    docs = frame(spark, [(None, leak), (None, prose(3)), (5, leak), (5, prose(4))])
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in decontaminate.decontaminated(docs, items).collect())
+    assert found == sorted([(0, prose(3)), (5, prose(4))])
