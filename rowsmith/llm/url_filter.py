@@ -67,12 +67,44 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return best
 
 
-def alias_links(html: Column) -> Column:
-    """Targets of meta refresh and canonical links in a page, absolute ones only."""
+def folded(path: Column) -> Column:
+    """An absolute path without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/", -1)
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    done = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), step)
+    # What ends in a dot segment is a folder.
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(done) > 0)
+    return F.concat(F.lit("/"), F.array_join(done, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The url that a link on the page ``url`` means; null for mailto: and the like."""
+    path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    above = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    above = F.when(above == "", F.lit("/")).otherwise(above)
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | ~url.contains("://"), F.lit(None).cast("string"))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), target))
+        .when(target.startswith("#"), url)
+        .when(target.startswith("?"), F.concat(site, path_of(url), target))
+        .when(target.startswith("/"), F.concat(site, folded(path), rest))
+        .otherwise(F.concat(site, folded(F.concat(above, path)), rest))
+    )
+
+
+def alias_links(html: Column, url: Column) -> Column:
+    """Urls that meta refresh and canonical links of the page ``url`` lead to."""
     canonical = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(0)), lambda t: F.regexp_extract(t, _HREF, 1))
     refresh = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(0)), lambda t: F.regexp_extract(t, _TARGET, 1))
     both = F.transform(F.concat(canonical, refresh), lambda t: F.replace(t, F.lit("&amp;"), F.lit("&")))
-    return F.filter(both, lambda t: t.contains("://"))
+    return F.transform(F.filter(both, lambda t: t != ""), lambda t: resolved(t, url))
 
 
 def judge(
@@ -85,7 +117,7 @@ def judge(
     """(page_id, host, path, rule, verdict) per row of ``pages``.
 
     A null url or one without :// has empty host and path, no rule, and is allowed. A null
-    html has no links; relative links are no evidence of another url and are left out.
+    html has no links; relative links are resolved against the url of their page, ``<base>`` is not read.
     Repeated rows give repeated rows. No pages: no rows.
     """
     scratch = Scratch(pages.sparkSession)
@@ -94,7 +126,7 @@ def judge(
     )
     edges, _ = scratch.write(
         plain.filter("html ilike '%canonical%' or html ilike '%refresh%'")
-        .select(node_of(F.col("url")).alias("a"), F.explode(alias_links(F.col("html"))).alias("target"))
+        .select(node_of(F.col("url")).alias("a"), F.explode(alias_links(F.col("html"), F.col("url"))).alias("target"))
         .select("a", node_of(F.col("target")).alias("b")),
         "alias_links",
     )

@@ -1,6 +1,8 @@
 """Rows on which operators once did less than the whole job."""
 
-from rowsmith.llm import decontaminate, line_dedup, line_rules, simhash
+import pytest
+from pyspark.sql import functions as F
+from rowsmith.llm import decontaminate, line_dedup, line_rules, simhash, url_filter
 
 
 def letters(n):
@@ -46,3 +48,28 @@ def test_documents_are_decontaminated_row_by_row(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     found = sorted((r["doc_id"] or 0, r["text"]) for r in decontaminate.decontaminated(docs, items).collect())
     assert found == sorted([(0, prose(3)), (5, prose(4))])
+
+
+LINKS = [
+    ("/de/9", "http://shop.com/de/9"), ("de/9", "http://shop.com/xx/de/9"), ("//O.com/x", "http://O.com/x"),
+    ("../de/./9?a=/../b", "http://shop.com/de/9?a=/../b"), ("../../..", "http://shop.com/"), (".", "http://shop.com/xx/"),
+    ("?b", "http://shop.com/xx/9?b"), ("/to?u=http://q.com/x", "http://shop.com/to?u=http://q.com/x"),
+    ("ftp://q.com/../x", "ftp://q.com/../x"), ("mailto:a@b.c", None),
+]
+
+
+@pytest.mark.parametrize("target, meant", LINKS)
+def test_links_are_resolved(spark, target, meant):
+    row = spark.createDataFrame([("http://shop.com/xx/9?q#f", target)], "url string, t string")
+    assert row.select(url_filter.resolved(F.col("t"), F.col("url"))).first()[0] == meant
+
+
+def test_relative_links_make_aliases(spark):
+    rows = [
+        (0, "http://shop.com/xx/9", "<meta http-equiv=refresh content='0;url=/de/9'>"),
+        (1, "http://b.net/y", "<link rel=canonical href='//shop.com/xx/9'>"), (2, "http://b.net/a/z", "<link rel=canonical href=../y>"),
+        (3, "http://b.net", "<link rel=canonical href=y>"), (4, "http://b.net/q", "<link rel=canonical href='#y'>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}
+    assert found == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
