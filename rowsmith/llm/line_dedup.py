@@ -26,10 +26,9 @@ from rowsmith.llm.tables import Scratch, fresh, keyed_by_row, numbered, quoted
 SIMILARITY = 0.8
 #: Bytes of UTF-8 per shingle; eight fill one 64-bit number, so sets of shingles are exact.
 SHINGLE_CHARS = 8
+_FILL = b"\xff"  # no byte of UTF-8; fills shorter lines, which are one shingle
 BANDS = 9
 ROWS = 4
-#: Shorter lines are left alone: headings, greetings and single words repeat by nature.
-MIN_WORDS = 5
 TILE = 512
 BROADCAST_BYTES = 32 * 1024 * 1024
 _CHUNK = 8_192  # shingles counted at once
@@ -42,9 +41,8 @@ def recall(similarity: float = SIMILARITY) -> float:
 
 
 def normal_line(line: str) -> bytes:
-    """Words of a line in lower case, joined by single spaces; empty for a line that is left alone."""
-    parts = line.lower().split()
-    return " ".join(parts).encode("utf-8", "surrogatepass") if len(parts) >= MIN_WORDS else b""
+    """Words of a line in lower case, joined by single spaces; empty without words."""
+    return " ".join(line.lower().split()).encode("utf-8", "surrogatepass")
 
 
 def _multipliers() -> np.ndarray:
@@ -60,7 +58,7 @@ def shingles(line: bytes) -> np.ndarray:
 
 def shingle_set(line: bytes) -> np.ndarray:
     """Sorted different shingles of a line."""
-    found = np.sort(shingles(line))
+    found = np.sort(shingles(line.ljust(SHINGLE_CHARS, _FILL)))
     fresh_ones = np.empty(len(found), bool)
     fresh_ones[:1] = True
     np.not_equal(found[1:], found[:-1], out=fresh_ones[1:])
@@ -77,7 +75,8 @@ def _mixed(numbers: np.ndarray) -> np.ndarray:
 
 
 def signatures(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per line and band. Every line has at least ``SHINGLE_CHARS`` bytes."""
+    """A 64-bit hash per line and band."""
+    lines = [line.ljust(SHINGLE_CHARS, _FILL) for line in lines]
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     ends = np.cumsum(lengths)
     low = _mixed(shingles(b"".join(lines)))
@@ -124,7 +123,7 @@ def similar_pairs(rows: list[bytes], columns: list[bytes] | None = None) -> np.n
 
 
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_line: bool = True) -> DataFrame:
-    """(doc_id, place, high, low, line): normalised lines with their 128-bit hash; none that are left alone.
+    """(doc_id, place, high, low, line): normalised lines with their 128-bit hash; none without words.
 
     The line itself is null unless asked for.
     """
@@ -284,7 +283,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """(doc_id, line, first_doc, first_line, kept): all lines that are not alone in their class.
 
     Lines count from 0. ``kept`` marks the line that stays: the first by document and place,
-    a null id before all others. Lines of fewer than ``MIN_WORDS`` words are never compared.
+    a null id before all others. Every line that has a word is compared, however short.
     Rows that share an id count as one document with the lines of all of them. No documents:
     no rows.
     """

@@ -50,6 +50,14 @@ def test_documents_are_decontaminated_row_by_row(spark):
     assert found == sorted([(0, prose(3)), (5, prose(4))])
 
 
+def test_short_and_unspaced_lines_are_compared(spark):
+    code = "".join(letters(i * 7_919) for i in range(100))
+    rows = [(1, f"Hi\n漢字仮名交文\n{code}\na"), (2, f"hI \nHo\n漢字仮名交文\n{code[:-1]}z\nb"), (3, "a\u0000\nHo")]
+    found = {tuple(r)[:4] for r in line_dedup.repeated_lines(frame(spark, rows)).collect()}
+    same = [((1, 0), (2, 0)), ((1, 1), (2, 2)), ((1, 2), (2, 3)), ((2, 1), (3, 1))]
+    assert found == {(*at, *pair[0]) for pair in same for at in pair}
+
+
 LINKS = [
     ("/de/9", "http://shop.com/de/9"), ("de/9", "http://shop.com/xx/de/9"), ("//O.com/x", "http://O.com/x"),
     ("../de/./9?a=/../b", "http://shop.com/de/9?a=/../b"), ("../../..", "http://shop.com/"), (".", "http://shop.com/xx/"),
