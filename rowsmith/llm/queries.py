@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.llm import (
+    centroids,
     chat,
     decontaminate,
+    filter_audit,
+    language_id,
     licenses,
     line_dedup,
     line_quality,
@@ -98,3 +101,22 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in the documents."""
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each document."""
+    return language_id.identify(table(spark, folder, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters removes, at each step of each order of them."""
+    cells = filter_audit.mask_cells(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(cells)
+
+
+@query
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of each vector, its distance, and digests of the clustering."""
+    return centroids.summarised(centroids.cluster(table(spark, folder, "embeddings")))

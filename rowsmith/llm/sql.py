@@ -237,3 +237,103 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_re
          and 100 * lost <= 50 * n_words and n_words - lost >= 50 as kept
 from merged
 """
+
+_LETTERS = "select * from (values ('A'), ('B'), ('C'), ('D'), ('E')) as v (l)"
+
+ORACLE["op12_filter_audit"] = rf"""
+with letters as ({_LETTERS}),
+plain as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+),
+-- A row without an id neither is a copy nor has copies.
+facts as (
+  select doc_id, part,
+    concat(case when len(words) < 50 then 'A' else '' end,
+           case when 100 * len(list_distinct(words)) < 65 * len(words) then 'B' else '' end,
+           case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * len(text) then 'C' else '' end,
+           case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end,
+           case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end) as fails
+  from plain
+),
+marks as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id
+),
+cells as (
+  select part, fails, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from facts left join marks using (doc_id) group by part, fails
+),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+),
+-- The first filter of the order that a cell fails; 6 for none.
+stopped as (
+  select c.*, filter_order,
+    coalesce(list_min([strpos(filter_order, fails[i]) for i in range(1, len(fails) + 1)]), 6) as place
+  from cells c, orders
+),
+steps as (
+  select part, filter_order, cast(step as integer) as step, filter_order[step] as letter,
+    sum(case when place > step then n else 0 end) as kept,
+    sum(case when place = step then n else 0 end) as removed,
+    sum(case when place < step and contains(fails, filter_order[step]) then n else 0 end) as redundant,
+    sum(case when fails = filter_order[step] then n else 0 end) as unique_fails,
+    sum(case when place = step then good else 0 end) as good_lost,
+    sum(case when place = step then toxic else 0 end) as toxic_lost
+  from stopped, range(1, 6) as s(step)
+  group by all
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from steps
+"""
+
+
+def _assignment(turn: int) -> str:
+    """Nearest centroid of every vector, and the centroids that follow from it."""
+    return f"""
+near{turn} as (
+  select r, vec_id, whole, m.cluster, m.distance from (
+    select r, any_value(v.vec_id) as vec_id, any_value(v.whole) as whole,
+      min(struct_pack(distance := list_sum([(v.whole[i] - c.whole[i]) * (v.whole[i] - c.whole[i]) for i in range(1, 65)]),
+                      cluster := c.cluster)) as m
+    from kept v, centres{turn} c group by r
+  )
+),
+sums{turn} as (
+  select cluster, i, sum(whole[i]) as total, count(*) as n from near{turn}, range(1, 65) as t(i) group by cluster, i
+),
+means{turn} as (
+  select cluster, list(cast((total - ((total % n) + n) % n) // n as bigint) order by i) as whole
+  from sums{turn} group by cluster
+),
+centres{turn + 1} as (
+  select c.cluster, coalesce(m.whole, c.whole) as whole from centres{turn} c left join means{turn} m using (cluster)
+)"""
+
+
+ORACLE["op13_centroids"] = f"""
+with numbered as (
+  select row_number() over () as r, vec_id, [cast(x as double) for x in embedding] as parts from embeddings
+),
+kept as (
+  select r, vec_id, [cast(floor(64 * x) as bigint) for x in parts] as whole from numbered
+  where len(parts) = 64 and len([x for x in parts if x is null or not isfinite(x)]) = 0
+),
+centres0 as (
+  select row_number() over (order by sha256('1:' || vec_id) nulls last, whole) - 1 as cluster, whole from kept
+  order by sha256('1:' || vec_id) nulls last, whole limit 16
+),
+{",".join(_assignment(turn) for turn in range(4))}
+select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as distance,
+  cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia,
+  sha256(array_to_string(c.whole, ',')) as centroid_sha256
+from near3 join centres3 c using (cluster)
+"""

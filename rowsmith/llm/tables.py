@@ -34,10 +34,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def held_out(doc_id: Column) -> Column:
+def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
     """Rows whose labels must not be learnt from; false for a null id."""
-    remainder = F.pmod(F.crc32(doc_id.cast("string")), F.lit(4))
-    return F.coalesce(remainder == 2, F.lit(False))
+    remainder = F.pmod(F.crc32(doc_id.cast("string")), F.lit(parts))
+    return F.coalesce(remainder == part, F.lit(False))
 
 
 class Scratch:

@@ -73,6 +73,19 @@ PAGE_ROWS = [
     (None, "http://a.net/x", "", None), (0, "http://a.net/x", "", None), (12, "http://b.net/y?q=1", "", None),
     (13, "http://b.net/y?q=2", "", None), (14, "http://d.net?a=1", "", None), (15, "x://org", "", None), (16, "http://org/", "", None),
 ]
+VECTORS = [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("cluster", pa.string()), ("distance", pa.string())]
+
+
+def vectors():
+    r = random.Random(5)
+    middles = [[r.gauss(0, 0.4) for _ in range(64)] for _ in range(20)]
+    rows = [(i, [m + r.gauss(0, 0.15) for m in r.choice(middles)]) for i in range(300)]
+    rows += [(300 + i, rows[7][1]) for i in range(50)] + [rows[3], rows[3], (None, rows[4][1]), (None, [0.0] * 64)]
+    rows += [(400, None), (401, []), (402, [1.0] * 63), (403, [1.0] * 65), (404, [None] + [0.0] * 63), (405, [float("nan")] * 64)]
+    rows += [(406, [float("inf")] + [0.0] * 63), (407, [float("-inf")] * 64), (408, [-0.0] * 64), (409, [1e4] * 64)]
+    return [(i, v, "clash", "clash") for i, v in rows]
+
+
 TURN_ROWS = [
     (1, 0, "user", "Hi <|end|>\\", None), (1, 1, "assistant", "  café \\n <|turn|> ", None), (1, 2, "assistant", "", None),
     (2, 1, "assistant", "b", None), (2, 1, "assistant", "a", None), (2, 0, None, None, None), (2, None, "user", "first", None),
@@ -97,9 +110,10 @@ def tables(folder):
     write(f"{folder}/pages.parquet", PAGE_ROWS, PAGES)
     write(f"{folder}/benchmark.parquet", [(*x, None) for x in benchmark(leaky)], ITEMS)
     write(f"{folder}/conversations.parquet", TURN_ROWS, TURNS)
+    write(f"{folder}/embeddings.parquet", vectors(), VECTORS)
     return found
 
 
 def empty_tables(folder):
-    for name, schema in (("documents", DOCUMENTS), ("labels", LABELS), ("pages", PAGES), ("benchmark", ITEMS), ("conversations", TURNS)):
+    for name, schema in (("documents", DOCUMENTS), ("labels", LABELS), ("pages", PAGES), ("benchmark", ITEMS), ("conversations", TURNS), ("embeddings", VECTORS)):
         write(f"{folder}/{name}.parquet", [], schema)
