@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from rowsmith.operators.columns import quoted
+from rowsmith.operators.identity import identified, salt
 from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach
 from rowsmith.operators.ordering import row_numbers
 from rowsmith.storage import materialize
@@ -131,9 +132,9 @@ def group_lists(
     ranges, and no task holds a large group.
     """
     names = {"key": quoted(key), "value": quoted(value), "id": quoted(row_id)}
-    rows = df.select(*[c.alias(n) for n, c in names.items()])
-    # Equal rows are told apart by their number within a task, so that ranges can part them.
-    turned = rows.withColumn("turn", F.xxhash64(F.monotonically_increasing_id()))
+    # Equal rows are told apart by their identity, so that ranges can part them.
+    rows, row = identified(df.select(*[c.alias(n) for n, c in names.items()]), "turn")
+    turned = rows.withColumn(row, salt(row))
     numbered = row_numbers(turned, [F.col(c) for c in ("key", "value", "id", "turn")], "place")
     counted = numbered.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start"))
     table = KeyTable.measured(materialize(counted.withColumn("held", F.col("n")), "group_sizes"), ("start", "held"))

@@ -14,7 +14,7 @@ from rowsmith.fixed_values import TRUE_TEXTS
 from rowsmith.functions.text import binary_flag
 from rowsmith.operators.columns import columns_of_type, present, quoted
 from rowsmith.operators.counts import CategoryCounts, value_text
-from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, attach, broadcastable
+from rowsmith.operators.lookup import BROADCAST_BYTES, KeyTable, Lookup, attach_all
 from rowsmith.operators.ordering import row_numbers
 
 # Up to this many labels are ranked in one task; more are ranked by sorted ranges.
@@ -52,21 +52,20 @@ class FrequencyEncoder:
 
     def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
         """Add ``<column>_freq`` and drop the column."""
-        sizes = {c: self.counts.sizes[c]["n_bytes"] for c in self.columns}
-        small = broadcastable(sizes, self.broadcast_bytes)
-        for c in self.columns:
-            df = attach(
-                df,
-                value_text(df, c),
-                self.counts.key_table(c, f"{c}_freq"),
-                null_safe=self.null_policy == "count",
-                broadcast_bytes=self.broadcast_bytes if c in small else 0,
-            )
-            if self.unseen_as_zero:
-                is_key = F.lit(True) if self.null_policy == "count" else quoted(c).isNotNull()
-                found = F.coalesce(quoted(f"{c}_freq"), F.when(is_key, F.lit(0)))
-                df = df.withColumn(f"{c}_freq", found)
-        return df if keep_source else df.drop(*self.columns)
+        return encode_all(df, [self], keep_source, self.broadcast_bytes)
+
+    def lookups(self, df: DataFrame) -> list[Lookup]:
+        by_null = self.null_policy == "count"
+        return [Lookup(value_text(df, c), self.counts.key_table(c, f"{c}_freq"), by_null) for c in self.columns]
+
+    def finished(self, df: DataFrame) -> DataFrame:
+        """``df``, with the values looked up, as the encoder leaves it."""
+        if not self.unseen_as_zero:
+            return df
+        is_key = {c: F.lit(True) if self.null_policy == "count" else quoted(c).isNotNull() for c in self.columns}
+        return df.withColumns(
+            {f"{c}_freq": F.coalesce(quoted(f"{c}_freq"), F.when(is_key[c], F.lit(0))) for c in self.columns}
+        )
 
 
 @dataclass(frozen=True)
@@ -107,20 +106,43 @@ class LabelIndexer:
             n_labels[c] = size["n_values"]
         return cls(tables, n_labels, handle_invalid, broadcast_bytes)
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return tuple(self.tables)
+
     def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
         """Add ``<column>_idx`` as double and drop the column."""
-        sizes = {c: table.n_bytes for c, table in self.tables.items()}
-        small = broadcastable(sizes, self.broadcast_bytes)
-        for c, table in self.tables.items():
-            limit = self.broadcast_bytes if c in small else 0
-            df = attach(df, value_text(df, c), table, broadcast_bytes=limit)
-            index = quoted(f"{c}_idx")
-            if self.handle_invalid == "keep":
-                kept = F.coalesce(index, F.lit(float(self.n_labels[c])))
-                df = df.withColumn(f"{c}_idx", kept)
-            elif self.handle_invalid == "skip":
-                df = df.filter(index.isNotNull())
-        return df if keep_source else df.drop(*self.tables)
+        return encode_all(df, [self], keep_source, self.broadcast_bytes)
+
+    def lookups(self, df: DataFrame) -> list[Lookup]:
+        return [Lookup(value_text(df, c), table) for c, table in self.tables.items()]
+
+    def finished(self, df: DataFrame) -> DataFrame:
+        """``df``, with the values looked up, as the encoder leaves it."""
+        index = {c: quoted(f"{c}_idx") for c in self.tables}
+        if self.handle_invalid == "keep":
+            return df.withColumns({f"{c}_idx": F.coalesce(x, F.lit(float(self.n_labels[c]))) for c, x in index.items()})
+        if self.handle_invalid == "skip":
+            return df.dropna(subset=[f"{c}_idx" for c in index])
+        return df
+
+
+def encode_all(
+    df: DataFrame,
+    encoders: Sequence[FrequencyEncoder | LabelIndexer],
+    keep_source: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    row: str | None = None,
+) -> DataFrame:
+    """Apply encoders that read the columns of ``df``, with one set of joins for all of them.
+
+    Tables that together stay within ``broadcast_bytes`` are broadcast; all others are joined at
+    once. ``row`` names a column with the identity of the rows, if there is one.
+    """
+    found = attach_all(df, [x for e in encoders for x in e.lookups(df)], broadcast_bytes, row)
+    for encoder in encoders:
+        found = encoder.finished(found)
+    return found if keep_source else found.drop(*[c for e in encoders for c in e.columns])
 
 
 def _number_labels(

@@ -18,6 +18,7 @@ from rowsmith.operators import encode, metrics, models, split
 from rowsmith.operators.columns import quoted
 from rowsmith.operators.counts import CategoryCounts, with_class_weight
 from rowsmith.operators.filters import incomplete
+from rowsmith.operators.identity import identified
 from rowsmith.operators.missing import NumericFill, fill_text
 from rowsmith.storage import materialize
 
@@ -131,7 +132,8 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
     The input is read once: its cleaned rows are written and all statistics come from
     that narrower table.
     """
-    cleaned = materialize(clean(accidents, options), "accidents_clean")
+    # Rows keep the identity they have in the written table through split, fills and encoders.
+    cleaned, row = identified(materialize(clean(accidents, options), "accidents_clean"))
     if options.split == "stratified":
         marked = split.stratified_split(cleaned, fixed.ACCIDENT_LABEL, "ID", name=SPLIT)
     else:
@@ -154,13 +156,13 @@ def features(accidents: DataFrame, options: SeverityOptions = DEFAULTS) -> DataF
         counts=counts,
         unseen_as_zero=options.fit_on == "train",
     )
-    encoded = frequency.transform(indexer.transform(fill.transform(marked)))
+    encoded = encode.encode_all(fill.transform(marked), [indexer, frequency], row=row)
     left = {*fixed.ACCIDENT_INDEXED, *fixed.ACCIDENT_FREQUENCY} - {*indexed, *by_frequency}
     encoded = cols.drop_columns(encoded, sorted(left))
     if options.small_categories == "one_hot":
         encoded = encode.one_hot(encoded, fixed.ACCIDENT_ONE_HOT, counts)
     selected = cols.drop_columns(encoded, fixed.ACCIDENT_LOW_CORRELATION)
-    return materialize(selected.drop("ID"), "accident_features")
+    return materialize(selected.drop("ID", row), "accident_features")
 
 
 def feature_names(table: DataFrame, options: SeverityOptions = DEFAULTS) -> list[str]:
