@@ -1,12 +1,16 @@
 """Fuzzy line dedup: MinHash of character shingles, banding, exact Jaccard, union-find.
 
 Lines that are equal once case and white space are ignored are one line, found by a 128-bit
-hash; the first of them, by document and place, stands for all. The others get a MinHash
-signature of their character shingles, cut into bands. Lines that agree in a band form a
-bucket: its smallest line is compared with each of the others, and buckets in which that does
-not connect all members are compared in full, tile by tile, without repeating what is connected
-already. Accepted pairs go through distributed union-find, and of each component the first
-line is kept. A bucket of any size yields pairs in proportion to its size, not to its square.
+hash; the first of them, by document and place, stands for all. A line gets a MinHash signature
+of its character shingles, cut into bands, where the documents are read: hashes and bands are
+shuffled, texts are not. Lines that agree in a band form a bucket: its smallest line is compared
+with each of the others, and buckets in which that does not connect all members are compared in
+full, tile by tile, without repeating what is connected already. The texts of members are fetched
+from the documents by their hashes. Accepted pairs go through distributed union-find, and of each
+component the first line is kept.
+
+A bucket of m lines costs m comparisons with its smallest line. Only buckets that this leaves in
+several parts cost more: each pair of their tiles is compared by one task.
 """
 
 from __future__ import annotations
@@ -21,16 +25,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
-from rowsmith.llm.tables import Scratch, fresh, keyed_by_row, numbered, quoted
+from rowsmith.llm.tables import (
+    Scratch,
+    fresh,
+    in_slots,
+    keyed_by_row,
+    numbered,
+    quoted,
+    slot_set,
+    without_places,
+    word_count,
+)
 
 SIMILARITY = 0.8
-#: Bytes of UTF-8 per shingle; eight fill one 64-bit number, so sets of shingles are exact.
+#: Characters per shingle. Eight of ASCII fill one 64-bit number exactly; others are hashed to one.
 SHINGLE_CHARS = 8
-_FILL = b"\xff"  # no byte of UTF-8; fills shorter lines, which are one shingle
+_FILL = 0x110000  # no character; fills shorter lines, which are one shingle
 BANDS = 9
 ROWS = 4
 TILE = 512
-BROADCAST_BYTES = 32 * 1024 * 1024
+#: A document with fewer of its words left goes: at least four fifths of it repeat other documents.
+MIN_LEFT_PERCENT = 20
 _CHUNK = 8_192  # shingles counted at once
 _HEADS = 4_096  # sets of shingles kept by a task
 
@@ -49,16 +64,36 @@ def _multipliers() -> np.ndarray:
     return np.random.default_rng(20_240_602).integers(1, 2**32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def shingles(line: bytes) -> np.ndarray:
-    """The shingle from each place of a line on, as a number; places near the end have none."""
-    octets = np.frombuffer(line, np.uint8)
-    windows = np.lib.stride_tricks.sliding_window_view(octets, SHINGLE_CHARS)
-    return np.ascontiguousarray(windows).view("<u8").ravel()
+def _points(line: bytes) -> np.ndarray:
+    """Characters of a normalised line as numbers, filled up to one shingle."""
+    if line.isascii():
+        found = np.frombuffer(line, np.uint8)
+    else:
+        found = np.frombuffer(line.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+    if len(found) < SHINGLE_CHARS:
+        found = np.concatenate([found, np.full(SHINGLE_CHARS - len(found), _FILL)]).astype(np.uint32)
+    return found
+
+
+def shingles(points: np.ndarray) -> np.ndarray:
+    """The shingle from each place on, as a number; places near the end have none."""
+    if points.dtype == np.uint8:
+        windows = np.lib.stride_tricks.sliding_window_view(points, SHINGLE_CHARS)
+        return np.ascontiguousarray(windows).view("<u8").ravel()
+    n = len(points) - SHINGLE_CHARS + 1
+    exact, hashed, wide = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, bool)
+    for i in range(SHINGLE_CHARS):
+        part = points[i : i + n].astype(np.uint64)
+        exact |= part << np.uint64(8 * i)
+        hashed = (hashed ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        hashed ^= hashed >> np.uint64(32)
+        wide |= part >= 128
+    return np.where(wide, hashed, exact)
 
 
 def shingle_set(line: bytes) -> np.ndarray:
     """Sorted different shingles of a line."""
-    found = np.sort(shingles(line.ljust(SHINGLE_CHARS, _FILL)))
+    found = np.sort(shingles(_points(line)))
     fresh_ones = np.empty(len(found), bool)
     fresh_ones[:1] = True
     np.not_equal(found[1:], found[:-1], out=fresh_ones[1:])
@@ -76,10 +111,10 @@ def _mixed(numbers: np.ndarray) -> np.ndarray:
 
 def signatures(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
     """A 64-bit hash per line and band."""
-    lines = [line.ljust(SHINGLE_CHARS, _FILL) for line in lines]
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    points = [_points(line) for line in lines]
+    lengths = np.fromiter(map(len, points), np.int64, len(points))
     ends = np.cumsum(lengths)
-    low = _mixed(shingles(b"".join(lines)))
+    low = _mixed(shingles(np.concatenate(points)))
     # The shingles of a line, then those that reach into the next line, which are left out.
     cuts = np.stack([ends - lengths, ends - SHINGLE_CHARS + 1], axis=1).ravel()[:-1]
     minima = np.empty((len(multipliers), len(lines)), np.uint64)
@@ -122,59 +157,103 @@ def similar_pairs(rows: list[bytes], columns: list[bytes] | None = None) -> np.n
     return common >= np.float32(SIMILARITY) * (sizes[first, None] + sizes[None, second] - common) - 1e-3
 
 
-def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_line: bool = True) -> DataFrame:
-    """(doc_id, place, high, low, line): normalised lines with their 128-bit hash; none without words.
-
-    The line itself is null unless asked for.
+def _normal_lines(texts: list[str | None]) -> tuple[list[int], list[int], list[bytes], np.ndarray]:
+    """Rows, places, lines and 128-bit hashes of the normalised lines that have a word."""
+    rows, places, lines = [], [], []
+    for row, value in enumerate(texts):
+        for place, raw in enumerate((value or "").split("\n")):
+            line = normal_line(raw)
+            if line:
+                rows.append(row)
+                places.append(place)
+                lines.append(line)
+    digests = b"".join(xxhash.xxh3_128_digest(x) for x in lines)
+    return rows, places, lines, np.frombuffer(digests, np.int64).reshape(-1, 2)
+
+
+def _bands_of(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
+    """A row of band hashes per line; few long lines and many short ones take the same memory."""
+    found, at = [np.empty((0, BANDS), np.int64)], 0
+    while at < len(lines):
+        end, size = at, 0
+        while end < len(lines) and (end == at or size + len(lines[end]) <= 1 << 18):
+            size += len(lines[end])
+            end += 1
+        found.append(signatures(lines[at:end], multipliers).view(np.int64))
+        at = end
+    return np.concatenate(found)
+
+
+def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bands: bool = False) -> DataFrame:
+    """(doc_id, place, high, low, bands): normalised lines with their 128-bit hash; none without words.
+
+    The bands are null unless asked for.
     """
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
+    multipliers = _multipliers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, lines = [], [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
-                for place, raw in enumerate((value or "").split("\n")):
-                    line = normal_line(raw)
-                    if line:
-                        rows.append(row)
-                        places.append(place)
-                        lines.append(line)
-            digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in lines), np.int64).reshape(-1, 2)
+            rows, places, lines, digests = _normal_lines(batch.column(1).to_pylist())
+            if with_bands:
+                first, at = _firsts(digests)
+                bands = _bands_of([lines[i] for i in first], multipliers)[at].ravel()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands))
+            else:
+                lists = pa.nulls(len(lines), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()),
-                    pa.array(digests[:, 0]), pa.array(digests[:, 1]),
-                    pa.array(lines if with_line else [None] * len(lines), pa.binary()),
+                    pa.array(digests[:, 0]), pa.array(digests[:, 1]), lists,
                 ],
-                ["doc_id", "place", "high", "low", "line"],
+                ["doc_id", "place", "high", "low", "bands"],
             )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, place int, high long, low long, line binary")
+    return narrow.mapInArrow(run, f"doc_id {kind}, place int, high long, low long, bands array<long>")
 
 
-def _with_bands(lines: DataFrame) -> DataFrame:
-    multipliers = _multipliers()
+def _firsts(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the different hashes, and for each hash which of them it equals."""
+    if not len(digests):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pairs = np.ascontiguousarray(digests).view([("high", np.int64), ("low", np.int64)]).ravel()
+    _, first, at = np.unique(pairs, return_index=True, return_inverse=True)
+    return first, at
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """(node, line) of the lines in ``wanted`` (node, high, low), a written table."""
+    shared = docs.sparkSession.sparkContext.broadcast(slot_set(wanted, "high"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # Few long lines and many short ones take the same memory.
-            texts, found, at = batch.column("line").to_pylist(), [], 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 18):
-                    size += len(texts[end])
-                    end += 1
-                found.append(signatures(texts[at:end], multipliers))
-                at = end
-            bands = np.concatenate(found).view(np.int64) if found else np.empty((0, BANDS), np.int64)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel())
+            _, _, lines, digests = _normal_lines(batch.column(0).to_pylist())
+            first, _ = _firsts(digests)
+            first = first[in_slots(shared.value, digests[first, 0])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests[first, 0]), pa.array(digests[first, 1]), pa.array([lines[i] for i in first], pa.binary())],
+                ["high", "low", "line"],
             )
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "bands"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema.fields)
-    return lines.mapInArrow(run, f"{schema}, bands array<long>")
+    found = docs.select(quoted(text)).mapInArrow(run, "high long, low long, line binary")
+    one = found.groupBy("high", "low").agg(F.any_value("line").alias("line"))
+    return one.join(wanted, ["high", "low"]).select("node", "line")
+
+
+def _members(known: DataFrame, heads: DataFrame) -> DataFrame:
+    """(value, head, node) of the lines in the buckets of ``heads``, a written table."""
+    shared = known.sparkSession.sparkContext.broadcast(slot_set(heads, "value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(1).flatten().to_numpy()
+            at = np.flatnonzero(in_slots(shared.value, values))
+            nodes = batch.column(0).take(pa.array(at // BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(values[at]), nodes], ["value", "node"])
+
+    possible = known.select("node", "bands").mapInArrow(run, "value long, node long")
+    return possible.join(heads, "value").select("value", "head", "node")
 
 
 def _similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,34 +296,50 @@ def _connect(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def _lookup(df: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join with a written table of a few longs per row, broadcast if its rows allow it."""
-    return df.join(F.broadcast(small) if small.count() * 64 <= BROADCAST_BYTES else small, key, how)
-
-
-def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lines of all documents, first place per class of lines that is not alone).
+def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, Scratch]:
+    """First place per line that is not alone in its class, and the scratch that holds this table.
 
-    The first table has (doc_id, place, high, low); the second (high, low, first_doc, first_place).
+    The table has (high, low, first_doc, first_place).
     """
     scratch = Scratch(docs.sparkSession)
-    found = lines_of(docs, doc_id, text)
+    found = lines_of(docs, doc_id, text, with_bands=True)
     first = F.min(F.struct("doc_id", "place")).alias("first")
-    distinct = found.groupBy("high", "low").agg(first, F.count(F.lit(1)).alias("n"), F.any_value("line").alias("line"))
-    known, _ = scratch.write(
-        _with_bands(distinct).withColumn("node", F.monotonically_increasing_id()), "distinct_lines"
+    distinct = found.groupBy("high", "low").agg(first, F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands"))
+    known, _ = scratch.write(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct_lines")
+    counted = (
+        known.select("node", F.explode("bands").alias("value"))
+        .groupBy("value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
     )
-    banded = known.select("node", F.explode("bands").alias("value"))
-    counted = banded.groupBy("value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
     # Only buckets with company are kept; they are few against all bands.
-    heads, _ = scratch.write(counted.filter("members > 1").select("value", "head"), "line_heads")
-    members, _ = scratch.write(_lookup(banded, heads, "value"), "line_buckets")
-    wanted, _ = scratch.write(members.select("node").distinct(), "line_members")
-    text_of, _ = scratch.write(_lookup(known.select("node", "line"), wanted, "node", "left_semi"), "member_lines")
+    heads, heads_path = scratch.write(counted.filter("members > 1").select("value", "head"), "line_heads")
+    members, _ = scratch.write(_members(known, heads), "line_buckets")
+    scratch.drop(heads_path)
+    nodes = members.select("node").distinct()
+    wanted, wanted_path = scratch.write(known.select("node", "high", "low").join(nodes, "node"), "line_members")
+    text_of, text_path = scratch.write(_texts_of(docs, wanted, text), "member_lines")
+    scratch.drop(wanted_path)
     pairs = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     both = pairs.join(text_of.toDF("a", "line_a"), "a").join(text_of.toDF("b", "line_b"), "b")
     accepted, _ = scratch.write(both.mapInPandas(_similar, "a long, b long"), "line_pairs")
     star, _ = scratch.write(components(accepted), "line_components")
+    late, _ = scratch.write(_further_links(members, star, text_of), "line_pairs")
+    scratch.drop(text_path)
+    grown = star.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late)
+    final, _ = scratch.write(components(grown), "line_components")
+    rows_with = known.select("node", "high", "low", "n", "first").join(final, "node", "left")
+    component = F.coalesce("component", "node")
+    kept = rows_with.filter("component is not null or n > 1").withColumn("class", component)
+    firsts = kept.groupBy("class").agg(F.min("first").alias("kept"))
+    classes = kept.join(firsts, "class").select(
+        "high", "low", F.col("kept.doc_id").alias("first_doc"), F.col("kept.place").alias("first_place")
+    )
+    written, path = scratch.write(classes, "line_classes")
+    scratch.drop_all(but=[path])
+    return written, scratch
+
+
+def _further_links(members: DataFrame, star: DataFrame, text_of: DataFrame) -> DataFrame:
+    """(a, b): links in the buckets that their smallest lines do not connect."""
     rooted = members.join(star, "node", "left").withColumn("root", F.coalesce("component", "node"))
     mixed = (
         rooted.groupBy("value")
@@ -264,19 +359,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = open_.select("value", "node", "root", F.lit(0).alias("side"), tile.alias("i"), F.explode(others).alias("j"))
     columns = open_.select("value", "node", "root", F.lit(1).alias("side"), F.explode(others).alias("i"), tile.alias("j"))
     tiles = rows.filter("i <= j").union(columns.filter("i < j")).join(text_of, "node")
-    more = tiles.groupBy("value", "i", "j").applyInArrow(_connect, "a long, b long")
-    late, _ = scratch.write(more, "line_pairs")
-    grown = star.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late)
-    final, _ = scratch.write(components(grown), "line_components")
-    rows_with = known.select("node", "high", "low", "n", "first").join(final, "node", "left")
-    component = F.coalesce("component", "node")
-    kept = rows_with.filter("component is not null or n > 1").withColumn("class", component)
-    firsts = kept.groupBy("class").agg(F.min("first").alias("kept"))
-    classes = kept.join(firsts, "class").select(
-        "high", "low", F.col("kept.doc_id").alias("first_doc"), F.col("kept.place").alias("first_place")
-    )
-    written, _ = scratch.write(classes, "line_classes")
-    return lines_of(docs, doc_id, text, with_line=False).select("doc_id", "place", "high", "low"), written
+    return tiles.groupBy("value", "i", "j").applyInArrow(_connect, "a long, b long")
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -287,7 +370,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Rows that share an id count as one document with the lines of all of them. No documents:
     no rows.
     """
-    lines, classes = line_classes(docs, doc_id, text)
+    classes, _ = line_classes(docs, doc_id, text)
+    lines = lines_of(docs, doc_id, text).drop("bands")
     kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     return lines.join(classes, ["high", "low"]).select(
         "doc_id", F.col("place").alias("line"), "first_doc", F.col("first_place").alias("first_line"), kept.alias("kept")
@@ -297,29 +381,34 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def deduplicated(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars"
 ) -> DataFrame:
-    """``docs`` with the repeated lines taken out of their texts.
+    """``docs`` with the repeated lines taken out of their texts, less the depleted documents.
 
     Each row is a document of its own, whatever its id: of equal or similar lines the first by
-    (doc_id, row, place) stays, a null id before all others. Documents stay, even those that
-    lose every line; a null text stays null. ``n_chars``, if there is such a column, follows the
-    new text.
+    (doc_id, row, place) stays, a null id before all others. A document is depleted, and goes, if
+    less than ``MIN_LEFT_PERCENT`` of its words are left: all but these repeat lines that stay
+    elsewhere, so it is a near copy. Documents that lose no line stay, those without words
+    included; a null text stays null. ``n_chars``, if there is such a column, follows the new text.
     """
     scratch = Scratch(docs.sparkSession)
     rows, row = numbered(docs)
-    _, classes = line_classes(keyed_by_row(rows, row, doc_id, text))
-    places = lines_of(rows, row, text, with_line=False).select("doc_id", "place", "high", "low")
-    kept = (F.col("doc_id") == F.col("first_doc.row")) & (F.col("place") == F.col("first_place"))
-    key, lines = fresh(rows, "__key"), fresh(rows, "__lines")
+    keyed = keyed_by_row(rows, row, doc_id, text)
+    classes, of_classes = line_classes(keyed)
+    kept = (F.col("doc_id") == F.col("first_doc")) & (F.col("place") == F.col("first_place"))
+    key, lines, before = fresh(rows, "__key"), fresh(rows, "__lines"), fresh(rows, "__before")
     # One row per document that loses a line, with at most as many numbers as it has lines.
+    places = lines_of(keyed).select("doc_id", "place", "high", "low")
     per_doc, _ = scratch.write(
         places.join(classes, ["high", "low"]).filter(~kept)
-        .groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("place").alias(lines)),
+        .groupBy(F.struct("doc_id.file", "doc_id.at").alias(key)).agg(F.sort_array(F.collect_list("place")).alias(lines)),
         "removed_lines",
     )
-    joined = rows.join(per_doc, F.col(row) == F.col(key), "left")
-    left = F.filter(F.split(quoted(text), "\n", -1), lambda line, i: ~F.array_contains(F.col(lines), i))
-    found = joined.withColumn(text, F.when(F.col(lines).isNull(), quoted(text)).otherwise(F.array_join(left, "\n")))
+    of_classes.drop_all()
+    changed = F.col(lines).isNotNull()
+    found = rows.join(per_doc, quoted(row) == F.col(key), "left").withColumns(
+        {before: F.when(changed, word_count(quoted(text))), text: F.when(changed, without_places(quoted(text), F.col(lines))).otherwise(quoted(text))}
+    )
     if n_chars in docs.columns:
         kind = docs.schema[n_chars].dataType
-        found = found.withColumn(n_chars, F.when(F.col(lines).isNull(), quoted(n_chars)).otherwise(F.length(quoted(text)).cast(kind)))
-    return found.select(*[quoted(c) for c in docs.columns])
+        found = found.withColumn(n_chars, F.when(changed, F.length(quoted(text)).cast(kind)).otherwise(quoted(n_chars)))
+    depleted = changed & (word_count(quoted(text)) * 100 < F.col(before) * MIN_LEFT_PERCENT)
+    return found.filter(~depleted).select(*[quoted(c) for c in docs.columns])

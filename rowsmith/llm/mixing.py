@@ -6,9 +6,10 @@ Each round is one aggregation of the source table; all amounts are whole numbers
 last division, so the result does not depend on the order of addition.
 
 A source then takes whole repetitions of all its documents and one fractional repetition:
-documents in the order of a seeded hash of their id until the target is met, the last of them
+documents in the order of a seeded hash of id and text until the target is met, the last of them
 in part. The place in that order is found by sums per hash bucket (two levels of 4,096) and a
-sort of the one bucket that is left, so no task ever sorts a source.
+sort of the one bucket that is left, so no task ever sorts a source. Only repeated rows have one
+hash; where the target falls among them, the order of the rows in their files decides.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.tables import Scratch, fresh, quoted, word_count
+from rowsmith.llm.tables import Scratch, fresh, numbered, quoted, word_count
 from rowsmith.operators.lookup import KeyTable, attach
 from rowsmith.operators.ordering import row_numbers
 
@@ -29,12 +30,16 @@ _BUCKET_BITS = 12
 _TURN_BITS = 60
 
 
-def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size): words per row; a null text has none."""
-    return docs.select(
-        quoted(doc_id).alias("doc_id"),
-        quoted(source).alias("source"),
-        word_count(quoted(text)).alias("size"),
+def sizes(
+    rows: DataFrame, row: str, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """(doc_id, source, size, turn, row): words per row, its place in the order, and what it is known by.
+
+    ``rows`` and ``row`` are from ``numbered``. A null text has no words.
+    """
+    return rows.select(
+        quoted(doc_id).alias("doc_id"), quoted(source).alias("source"), word_count(quoted(text)).alias("size"),
+        _turn(quoted(doc_id), quoted(text), seed).alias("turn"), quoted(row).alias("row"),
     )
 
 
@@ -84,22 +89,22 @@ def _exceeds(room: Column, left: int, shares: int) -> Column:
     return room.cast(big) * F.lit(shares).cast(big) <= share
 
 
-def _turn(doc_id: Column, seed: int) -> Column:
-    """Where a document stands in the order of its source: a hash of its id, 60 bits, not negative."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, _TURN_BITS // 4), 16, 10).cast("long")
+def _turn(doc_id: Column, text: Column, seed: int) -> Column:
+    """Where a document stands in the order of its source: a hash of id and text, 60 bits, not negative."""
+    parts = [F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))]
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), *parts)), 1, _TURN_BITS // 4), 16, 10).cast("long")
 
 
 def _bucket(level: int) -> Column:
     return F.shiftright("turn", _TURN_BITS - _BUCKET_BITS * level).bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1))
 
 
-def sampling_plan(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
-    """``targets`` with (whole, cut_turn, cut_words): how each source is sampled.
+def sampling_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` with (whole, cut_turn, cut_words, cut_row): how each source is sampled.
 
-    Every document is taken ``whole`` times. Documents whose turn is below ``cut_turn`` are
-    taken once more, and of a document at ``cut_turn`` ``cut_words`` words. Rows with one id
-    have one turn; they tie at the cut and get equal parts of what is missing there.
+    Every document is taken ``whole`` times. Documents whose turn is below ``cut_turn`` are taken
+    once more, and of the document at ``cut_turn`` ``cut_words`` words. If repeated rows share that
+    turn, those before ``cut_row`` are taken once more and of that row ``cut_words`` words.
     """
     scratch = Scratch(sized.sparkSession)
     wanted = F.round("target").cast("long")
@@ -113,7 +118,7 @@ def sampling_plan(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> Dat
         ),
         "mix_plan",
     )
-    turns = sized.filter("size > 0").withColumn("turn", _turn(F.col("doc_id"), seed))
+    turns = sized.filter("size > 0")
     open_ = plan.filter("need > 0").select(F.col("source").alias("from"), "need")
     # A row per source and bucket; the buckets of a source fit one task.
     counted = turns.groupBy("source", _bucket(1).alias("b1")).agg(F.sum("size").alias("inside"))
@@ -128,16 +133,35 @@ def sampling_plan(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> Dat
     rows = _within(turns, second, ["b1", "b2"]).groupBy("source", "turn", "need").agg(
         F.sum("size").alias("inside"), F.count(F.lit(1)).alias("ties")
     )
-    cut = _boundary(rows, ["source"], ["turn"], ["ties"]).select(
-        F.col("source").alias("from"),
-        F.col("turn").alias("cut_turn"),
-        F.expr("need div ties").alias("cut_words"),
+    cut, _ = scratch.write(
+        _boundary(rows, ["source"], ["turn"], ["inside", "ties"]).select(
+            F.col("source").alias("from"), F.col("turn").alias("cut_turn"), "need", "ties", F.expr("inside div ties").alias("each")
+        ),
+        "mix_cut",
     )
-    known = plan.join(cut, F.col("source").eqNullSafe(F.col("from")), "left").drop("from")
-    written, _ = scratch.write(known.fillna(0, ["cut_turn", "cut_words"]), "mix_sampling")
+    known = plan.drop("need").join(_cut_rows(turns, cut), F.col("source").eqNullSafe(F.col("from")), "left").drop("from")
+    written, path = scratch.write(known.fillna(0, ["cut_turn", "cut_words"]), "mix_sampling")
+    scratch.drop_all(but=[path])
     return written
 
 
+def _cut_rows(turns: DataFrame, cut: DataFrame) -> DataFrame:
+    """(from, cut_turn, cut_words, cut_row); no row where a single one, or all of equal ones, stands at the cut."""
+    alone = cut.filter("ties = 1 or need = each * ties").select(
+        "from", "cut_turn", F.least("need", "each").alias("cut_words"), F.lit(None).cast(turns.schema["row"].dataType).alias("cut_row")
+    )
+    shared = cut.filter("ties > 1 and need < each * ties")
+    if shared.isEmpty():
+        return alone
+    same = F.col("source").eqNullSafe(F.col("from")) & (F.col("turn") == F.col("cut_turn"))
+    tied = turns.join(F.broadcast(shared), same).select("from", "cut_turn", "need", "each", "row")
+    placed = row_numbers(tied, [F.col("from"), F.col("row")], "place")
+    starts = placed.groupBy(F.col("from").alias("of")).agg(F.min("place").alias("start"))
+    rank = F.col("place") - F.col("start")
+    found = placed.join(F.broadcast(starts), F.col("from").eqNullSafe(F.col("of"))).filter(rank == F.expr("need div each"))
+    return alone.union(found.select("from", "cut_turn", (F.col("need") % F.col("each")).alias("cut_words"), F.col("row").alias("cut_row")))
+
+
 def _boundary(counted: DataFrame, by: list[str], order: list[str], more: Sequence[str] = ()) -> DataFrame:
     """The bucket in which a source's ``need``-th word lies; need becomes the words missing in it."""
     upto = F.sum("inside").over(
@@ -160,36 +184,26 @@ def _within(turns: DataFrame, found: DataFrame, buckets: list[str]) -> DataFrame
     return marked.join(found.withColumnRenamed("source", "from"), key)
 
 
-def sample(
-    docs: DataFrame,
-    plan: DataFrame,
-    size: Column,
-    seed: int = SEED,
-    doc_id: str = "doc_id",
-    source: str = "source",
-) -> DataFrame:
-    """``docs`` with (size, source_size, target, taken); clashing names get underscores in front."""
-    names = {n: fresh(docs, f"__{n}") for n in ("size", "turn")}
-    marked = docs.withColumns({names["size"]: size, names["turn"]: _turn(quoted(doc_id), seed)})
-    payload = ("source_size", "target", "whole", "cut_turn", "cut_words")
-    inner = {p: fresh(marked, f"__{p}") for p in payload}
-    rows = plan.select(F.col("source").alias("key"), "n", *[F.col(p).alias(inner[p]) for p in payload])
-    found = attach(marked, quoted(source), KeyTable.measured(rows, tuple(inner.values())), null_safe=True)
-    own, turn = F.col(names["size"]), F.col(names["turn"])
-    more = (
-        F.when(turn < F.col(inner["cut_turn"]), own)
-        .when(turn == F.col(inner["cut_turn"]), F.least(own, F.col(inner["cut_words"])))
-        .otherwise(F.lit(0))
+def sample(rows: DataFrame, plan: DataFrame, size: str, turn: str, row: str, source: str = "source") -> DataFrame:
+    """``rows`` with (source_size, target, taken); clashing names get underscores in front.
+
+    The names are those of the columns of ``rows`` that hold what ``sizes`` computes.
+    """
+    payload = ("source_size", "target", "whole", "cut_turn", "cut_words", "cut_row")
+    inner = {p: fresh(rows, f"__{p}") for p in payload}
+    known = plan.select(F.col("source").alias("key"), "n", *[F.col(p).alias(inner[p]) for p in payload])
+    found = attach(rows, quoted(source), KeyTable.measured(known, tuple(inner.values())), null_safe=True)
+    own, at, cut = quoted(size), quoted(turn), {p: quoted(name) for p, name in inner.items()}
+    tied = (
+        F.when(cut["cut_row"].isNull(), F.least(own, cut["cut_words"]))
+        .when(quoted(row) < cut["cut_row"], own)
+        .when(quoted(row) == cut["cut_row"], cut["cut_words"])
+        .otherwise(0)
     )
-    out = {
-        "size": own,
-        "source_size": F.col(inner["source_size"]),
-        "target": F.col(inner["target"]),
-        "taken": F.col(inner["whole"]) * own + more,
-    }
+    more = F.when(at < cut["cut_turn"], own).when(at == cut["cut_turn"], tied).otherwise(0)
+    out = {"source_size": cut["source_size"], "target": cut["target"], "taken": cut["whole"] * own + more}
     return found.select(
-        *[quoted(c) for c in docs.columns],
-        *[value.alias(fresh(docs, name)) for name, value in out.items()],
+        *[quoted(c) for c in rows.columns], *[value.alias(fresh(rows, name)) for name, value in out.items()]
     )
 
 
@@ -202,9 +216,9 @@ def plan_for(
     text: str = "text",
     source: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
-    """(sizes per row, sampling plan per source) of ``docs``; the sizes are written once."""
-    sized, _ = Scratch(docs.sparkSession).write(sizes(docs, doc_id, text, source), "mix_sizes")
-    return sized, sampling_plan(sized, source_targets(sized, weights, max_epochs), seed)
+    """(``sizes`` per row, sampling plan per source) of ``docs``; the sizes are written once."""
+    sized, _ = Scratch(docs.sparkSession).write(sizes(*numbered(docs), seed, doc_id, text, source), "mix_sizes")
+    return sized, sampling_plan(sized, source_targets(sized, weights, max_epochs))
 
 
 def mix(
@@ -220,19 +234,26 @@ def mix(
 
     ``copy`` counts from 0. ``copy_words`` is the number of words the mix uses of this copy:
     all of them, but for the one document per source at which its target is met. Documents of
-    which nothing is taken are gone; so are texts without words. No documents: no rows.
+    which nothing is taken are gone; so are texts without words. Rows that share an id, or have
+    none, are documents of their own. No documents: no rows.
     """
-    _, plan = plan_for(docs, weights, max_epochs, seed, doc_id, text, source)
-    taken = sample(docs, plan, word_count(quoted(text)), seed, doc_id, source)
-    size, words = (quoted(fresh(docs, n)) for n in ("size", "taken"))
-    copy, used = fresh(docs, "copy"), fresh(docs, "copy_words")
-    copies = F.sequence(F.lit(0), F.ceil(words / size).cast("int") - 1)
+    rows, row = numbered(docs)
+    scratch = Scratch(docs.sparkSession)
+    sized, path = scratch.write(sizes(rows, row, seed, doc_id, text, source), "mix_sizes")
+    plan = sampling_plan(sized, source_targets(sized, weights, max_epochs))
+    scratch.drop(path)
+    size, turn = fresh(rows, "__size"), fresh(rows, "__turn")
+    marked = rows.withColumns({size: word_count(quoted(text)), turn: _turn(quoted(doc_id), quoted(text), seed)})
+    taken = sample(marked, plan, size, turn, row, source)
+    words, of_copy = quoted(fresh(marked, "taken")), fresh(taken, "__copy")
+    own, copy = quoted(size), quoted(of_copy)
+    copies = F.sequence(F.lit(0), F.ceil(words / own).cast("int") - 1)
     return (
-        taken.filter((size > 0) & (words > 0))
-        .select(*[quoted(c) for c in docs.columns], size.alias("__n"), words.alias("__t"), F.explode(copies).alias("__c"))
+        taken.filter((own > 0) & (words > 0))
+        .withColumn(of_copy, F.explode(copies))
         .select(
             *[quoted(c) for c in docs.columns],
-            F.col("__c").alias(copy),
-            F.least(F.col("__n"), F.col("__t") - F.col("__n") * F.col("__c")).alias(used),
+            copy.alias(fresh(docs, "copy")),
+            F.least(own, words - own * copy).alias(fresh(docs, "copy_words")),
         )
     )

@@ -267,5 +267,6 @@ def keep_one(
     """One row of each group of ``docs``: the first by doc_id, a null id before all others, then by row."""
     rows, row = numbered(docs)
     groups = near_duplicates(keyed_by_row(rows, row, doc_id, text), shingle_words, max_bits)
-    gone = groups.filter("component_id.row <> doc_id.row").select("doc_id.row")
+    other = F.struct("component_id.file", "component_id.at") != F.struct("doc_id.file", "doc_id.at")
+    gone, _ = Scratch(docs.sparkSession).write(groups.filter(other).select(F.struct("doc_id.file", "doc_id.at")), "near_copies")
     return rows_of(rows, gone, row, "left_anti").drop(row)

@@ -9,7 +9,7 @@ _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 ORACLE: dict[str, str] = {}
 
 ORACLE["op1_source_mixing"] = f"""
-with sized as (select doc_id, source, cast({_SIZE} as bigint) as size from documents),
+with sized as (select doc_id, source, text, cast({_SIZE} as bigint) as size from documents),
 counted as (select source, sum(size) as source_size from sized group by source),
 weighed as (
   select source, source_size, cast(3 * source_size as hugeint) as room,
@@ -43,24 +43,29 @@ needs as (
 ),
 turns as (
   select doc_id, source, size,
-         cast('0x' || substr(md5('20240601:' || coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as turn
+         cast('0x' || substr(md5('20240601:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15) as bigint) as turn
   from sized
 ),
-tied as (select source, turn, sum(size) as inside, count(*) as ties from turns where size > 0 group by source, turn),
+tied as (
+  select source, turn, sum(size) as inside, count(*) as ties, min(size) as each
+  from turns where size > 0 group by source, turn
+),
 ordered as (
   select *, sum(inside) over (partition by source order by turn rows between unbounded preceding and current row) as upto
   from tied
 ),
 cuts as (
-  select n.source, o.turn as cut_turn, cast((n.need - (o.upto - o.inside)) // o.ties as bigint) as cut_words
+  select n.source, o.turn as cut_turn, n.need - (o.upto - o.inside) as missing, each
   from needs n join ordered o on n.source is not distinct from o.source
   where o.upto - o.inside < n.need and n.need <= o.upto
-)
+),
+-- Repeated rows, which share a turn, in any order.
+placed as (select *, row_number() over (partition by source, turn, size > 0) - 1 as place from turns)
 select t.doc_id, t.size, cast(n.source_size as bigint) as source_size, n.target,
        cast(n.whole * t.size + case when t.turn < coalesce(c.cut_turn, 0) then t.size
-                                    when t.turn = coalesce(c.cut_turn, 0) then least(t.size, coalesce(c.cut_words, 0))
-                                    else 0 end as bigint) as taken
-from turns t join needs n on t.source is not distinct from n.source
+                                    when t.size = 0 or t.turn > coalesce(c.cut_turn, 0) then 0
+                                    else least(each, greatest(0, missing - place * each)) end as bigint) as taken
+from placed t join needs n on t.source is not distinct from n.source
 left join cuts c on t.source is not distinct from c.source
 """
 
@@ -69,7 +74,7 @@ with recursive plain as (
   select row_number() over () as r, page_id, url, html from pages
 ),
 parts as (
-  select r, page_id, html,
+  select r, page_id, html, url,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
@@ -78,20 +83,46 @@ parts as (
   from plain
 ),
 links as (
-  select case when absolute then host || path || query end as a,
-         unnest(list_concat(
+  select url, case when absolute then host || path || query end as a, path as page_path,
+         regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) as site,
+         replace(unnest(list_concat(
            [regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1) for t in
              regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')],
            [regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) for t in
-             regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')])) as t
+             regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')])), '&amp;', '&') as t
   from parts
 ),
+-- A link is an url, or names another place from its page's: site, folder or page.
+placed as (
+  select *, regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) as rest,
+    case when starts_with(t, '/') then '' else coalesce(nullif(regexp_extract(page_path, '(?s)^(.*/)', 1), ''), '/') end
+      || regexp_extract(t, '(?s)^([^?#]*)', 1) as long_path
+  from links where t <> ''
+),
+cut as (select *, string_split(long_path, '/')[2:] as segments from placed),
+folding as (
+  select *, list_reduce(list_prepend(cast([] as varchar[]), [[x] for x in segments]), lambda done, x:
+    case when x[1] = '..' then done[1:greatest(len(done) - 1, 0)] when x[1] = '.' then done else list_concat(done, x) end) as done
+  from cut
+),
+resolved as (
+  select a, case
+    when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*://') then t
+    when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*:') or a is null then null
+    when starts_with(t, '//') then regexp_extract(url, '(?s)^(.*?:)//', 1) || t
+    when starts_with(t, '#') then url
+    when starts_with(t, '?') then site || page_path || t
+    else site || '/' || array_to_string(done, '/')
+      || case when segments[-1] in ('.', '..') and len(done) > 0 then '/' else '' end || rest
+    end as t
+  from folding
+),
 edges as (
-  select a, translate(regexp_extract(replace(t, '&amp;', '&'), '(?s)^.*?://([^/?#]*)', 1),
+  select a, translate(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-            || regexp_extract(replace(t, '&amp;', '&'), '(?s)^.*?://[^/?#]*([^?#]*)', 1)
-            || regexp_extract(replace(t, '&amp;', '&'), '(?s)^.*?://[^?#]*(\?[^#]*)', 1) as b
-  from links where contains(t, '://') and a is not null
+            || regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1)
+            || regexp_extract(t, '(?s)^.*?://[^?#]*(\?[^#]*)', 1) as b
+  from resolved where contains(t, '://') and a is not null
 ),
 both_ways as (select a, b from edges union select b, a from edges),
 reach as (
@@ -163,9 +194,33 @@ where 5 * matched >= 4 * n_shingles
 
 _DOCS = _SHINGLED.format(name="docs", id="doc_id", source="documents")
 
-ORACLE["op9_decontamination"] = _contained(
-    "item_id", _DOCS + "," + _SHINGLED.format(name="items", id="item_id", source="benchmark"), "items"
+ORACLE["op9_decontamination"] = r"""
+with docs as (
+  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as words
+  from documents
+),
+items as (
+  select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as words
+  from benchmark where item_id is not null
+),
+sized as (select item_id, words, least(5, len(words)) as k from items where len(words) > 0),
+item_shingles as (
+  select distinct item_id, k, array_to_string(words[i:i + k - 1], ' ') as shingle
+  from sized, unnest(range(1, len(words) - k + 2)) as t(i)
+),
+lengths as (select distinct k from sized),
+doc_shingles as (
+  select distinct doc_id, k, array_to_string(words[i:i + k - 1], ' ') as shingle
+  from docs, lengths, unnest(range(1, greatest(len(words) - k + 2, 1))) as t(i)
+),
+sizes as (select item_id, count(*) as n_shingles from item_shingles group by item_id),
+common as (
+  select doc_id, item_id, count(*) as matched
+  from doc_shingles join item_shingles using (k, shingle) group by doc_id, item_id
 )
+select doc_id, item_id, n_shingles, matched from common join sizes using (item_id)
+where 5 * matched >= 4 * n_shingles
+"""
 
 _TEMPLATE_ROWS = ", ".join(
     "('{}', '{}')".format(*[part.replace("'", "''") for part in pair]) for pair in TEMPLATES.items()
@@ -205,15 +260,11 @@ repeats as (
   from (select r, line_words, row_number() over (partition by r, line order by i) as place from each)
   where place > 1 and line_words > 0 group by r
 ),
-hosts as (select source, count(distinct hash(text)) as n from texts group by source),
 frequent as (
   select e.source, normal, count(distinct same) as documents from each e
   where line_words > 0 group by e.source, normal
 ),
-boilerplate as (
-  select f.source, normal from frequent f join hosts h on f.source is not distinct from h.source
-  where documents > 20 and documents * 100 > h.n * 20
-),
+boilerplate as (select source, normal from frequent where documents > 20),
 removed as (
   select r, sum(line_words) as removed_words, count(*) as n_removed_lines
   from each e join boilerplate b on line_words > 0 and e.source is not distinct from b.source and e.normal = b.normal

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.tables import fresh, held_out, quoted
+from rowsmith.llm.tables import held_out, quoted
 
 
 @dataclass(frozen=True)
@@ -46,11 +46,11 @@ def labelled_sample(
     rows = {y: known.filter(F.col("y") == y) for y in (0, 1)}
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     drawn = rows[0].orderBy(*order).limit(per_class).union(rows[1].orderBy(*order).limit(per_class))
-    key = fresh(docs, "id")
+    texts = docs.select(quoted(doc_id).alias("of"), quoted(text).alias("text"))
     found = (
-        docs.join(F.broadcast(drawn.withColumnRenamed("id", key)), quoted(doc_id) == F.col(key))
-        .groupBy(F.col(key).alias("id"), "y")
-        .agg(F.min(quoted(text)).alias("text"))
+        texts.join(F.broadcast(drawn), F.col("of") == F.col("id"))
+        .groupBy("id", "y")
+        .agg(F.min("text").alias("text"))
         .orderBy(*order)
         .collect()
     )

@@ -8,7 +8,11 @@ from rowsmith.llm.license_templates import TEMPLATES
 
 SYLLABLES = "ba be bo ka ke ko li lo lu ma mi mo na ne ra ri so ta te to".split()
 #: Columns of the operators' results, and names used inside: none may clash with a column of the input.
-EXTRA = ("size", "taken", "target", "copy", "score", "kept", "fp", "key", "n", "shingles", "place", "component", "__score", "row")
+EXTRA = (
+    "size", "taken", "target", "copy", "score", "kept", "fp", "key", "n", "shingles", "place", "component", "__score", "row",
+    "y", "id", "of", "turn", "mask", "same", "part", "file", "at", "lang_pred", "copy_words", "source_size",
+    "__n", "__t", "__c", "__key", "__row", "__lines", "__before", "__size", "__turn", "__copy", "__salt", "__hot", "__taken", "__target",
+)
 
 
 def word(r):
@@ -44,7 +48,10 @@ def texts(seed=7):
 def benchmark(leaky):
     r = random.Random(11)
     words = leaky.split()
-    return [(0, prose(r, 30)), (1, " ".join(words[20:50]).upper()), (2, ""), (3, None), (None, prose(r, 20)), (4, "ein zwei")]
+    return [
+        (0, prose(r, 30)), (1, " ".join(words[20:50]).upper()), (2, ""), (3, None), (None, prose(r, 20)), (4, "ein zwei"),
+        (5, " ".join(words[60:63])), (6, words[7]), (7, " ".join(words[30:34])),
+    ]
 
 
 def write(folder, rows, schema):
@@ -72,6 +79,14 @@ PAGE_ROWS = [
     (9, None, "<link rel='canonical' href='http://a.net/x'>", None), (10, "nothing", "", None), (11, "", None, None),
     (None, "http://a.net/x", "", None), (0, "http://a.net/x", "", None), (12, "http://b.net/y?q=1", "", None),
     (13, "http://b.net/y?q=2", "", None), (14, "http://d.net?a=1", "", None), (15, "x://org", "", None), (16, "http://org/", "", None),
+    (17, "http://shop.com/xx/9", "<meta http-equiv=refresh content='0;url=/de/9'>", None),
+    (18, "http://r.net/y", "<link rel=canonical href='//shop.com/xx/9'>", None),
+    (19, "http://r.net/a/z", "<link rel=canonical href=../y>", None), (20, "http://r.net", "<link rel=canonical href=y>", None),
+    (21, "http://r.net/q", "<link rel=canonical href='#y'>", None), (22, "http://r.net/b/c?x", "<link rel=canonical href='./../a/./z'>", None),
+    (23, "http://r.net/b/d/", "<link rel=canonical href='..'>", None), (24, "http://r.net/b/", "<link rel=canonical href='?de'>", None),
+    (25, "http://r.net/b/?de", "<link rel=canonical href='../../../a/z?'>", None), (26, "http://r.net/m", "<link rel=canonical href='mailto:a@b.c'>", None),
+    (27, "nowhere", "<link rel=canonical href='/y'>", None), (28, "http://r.net/a/z?", "<link rel=canonical href=/de/&amp;x>", None),
+    (29, "http://r.net/de/&x", "<link rel=canonical href='https://u.com/de/'>", None),
 ]
 VECTORS = [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("cluster", pa.string()), ("distance", pa.string())]
 
@@ -103,6 +118,13 @@ def tables(folder):
         rows.append((i, text, "xx", source, len(text or ""), *["clash"] * len(EXTRA)))
         labels.append((i, int(group != "junk"), int(group == "toxic"), None))
     rows += [rows[3], rows[3]]
+    # Rows without an id, and different texts under one id; the first source has only such rows.
+    for i in range(12):
+        text, key = prose(random.Random(100 + i), 40 + 9 * i), None if i % 2 else 9_000
+        found.append(("no id", key, text, "a"))
+        rows.append((key, text, "xx", "a", len(text), *["clash"] * len(EXTRA)))
+    rows += [rows[-1]] * 7
+    found += [found[-1]] * 7
     labels += [labels[3], (None, 1, 0, None), (2, None, None, None)]
     leaky = next(t for g, _, t, _ in found if g == "leak")
     write(f"{folder}/documents.parquet", rows, DOCUMENTS)

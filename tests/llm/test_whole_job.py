@@ -1,8 +1,13 @@
 """Rows on which operators once did less than the whole job."""
 
+import itertools
+import random
+import time
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from rowsmith.llm import decontaminate, line_dedup, line_rules, simhash, url_filter
+from rowsmith.llm import crf, decontaminate, gru, line_dedup, line_rules, mixing, simhash, tables, url_filter
 
 
 def letters(n):
@@ -81,3 +86,125 @@ def test_relative_links_make_aliases(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}
     assert found == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+def test_short_items_are_found_inside_long_documents(spark):
+    items = spark.createDataFrame(
+        [(1, "Capital of France is"), (2, "capital of france is paris"), (3, "dolor"), (4, "is of"), (5, "?")], "item_id long, text string"
+    )
+    docs = frame(spark, [(10, "lorem ipsum the capital of france is paris dolor"), (11, "Dolor."), (12, prose(1)), (13, "capital of france")])
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, items).collect()}
+    assert found == {(10, 1), (10, 2), (10, 3), (11, 3)}
+    left = {r["doc_id"] for r in decontaminate.decontaminated(docs, items).collect()}
+    assert left == {12, 13}
+
+
+BORDERS = sorted({n for low in decontaminate.SIZE_PARTITIONS for n in (low - 1, low, low + 1) if n})
+
+
+def test_items_at_every_border_of_the_size_partitions(spark):
+    items, docs, expected = [], [], set()
+    for n in BORDERS:
+        words = [f"item{letters(n)}x{letters(i)}" for i in range(n + 4)]
+        items.append((n, " ".join(words)))
+        enough = -(-n * 4 // 5)
+        for start in range(0, n - enough + 1):
+            docs.append((1_000 * n + start, f"{prose(n)} {' '.join(words[start : start + enough + 4])} {prose(n + 1)}"))
+            expected.add((1_000 * n + start, n, n, enough))
+        docs.append((-n, f"{prose(n)} {' '.join(words[: enough + 3])} {prose(n + 1)}"))
+    found = decontaminate.matches(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_draws_reach_the_recall_they_promise():
+    for partition, low in enumerate(decontaminate.SIZE_PARTITIONS):
+        high = (*decontaminate.SIZE_PARTITIONS, 5_000)[partition + 1]
+        assert max(decontaminate.miss(n, decontaminate.draws_for(partition)) for n in range(low, high)) <= 1e-5
+
+
+@pytest.mark.parametrize("copies", [0, 37])
+def test_sources_without_ids_meet_their_targets(spark, copies):
+    r = random.Random(copies)
+    rows = [(None if i % 2 else 7, prose(i, r.randint(1, 40)), "a") for i in range(100)] + [(3, prose(1_000, 11), "a")] * copies
+    rows += [(i, prose(i, 30), "b") for i in range(100, 200)] + [(None, "same text", "c")] * 500
+    docs = spark.createDataFrame([(*x, "clash", "clash") for x in rows], "doc_id long, text string, source string, __row string, turn string")
+    for seed in range(3):
+        sized, plan = mixing.plan_for(docs.repartition(3), seed=seed)
+        found = mixing.sample(sized, plan, "size", "turn", "row").groupBy("source").agg(
+            F.sum("taken"), F.max("target"), F.max(F.col("taken") - 3 * F.col("size"))
+        ).collect()
+        assert len(found) == 3
+        for source, taken, target, over in found:
+            assert abs(taken - target) <= 0.5 and over <= 0, (seed, source)
+
+
+def test_lines_go_in_time_proportional_to_the_text(spark):
+    n = 200_000
+    text = "\n".join(f"line {letters(i)}" for i in range(n))
+    row = spark.createDataFrame([(text, list(range(0, n, 2)))], "t string, p array<int>")
+    began = time.time()
+    found = row.select(tables.without_places(F.col("t"), F.col("p"))).first()[0]
+    assert time.time() - began < 10
+    assert found.split("\n") == [f"line {letters(i)}" for i in range(1, n, 2)]
+
+
+def test_depleted_documents_go(spark):
+    base = [prose(i, 9) for i in range(10)]
+    whole = "\n".join(base)
+    docs = frame(spark, [
+        (1, whole), (2, whole), (3, "\n".join([*base[:9], prose(50, 9)])), (4, "\n".join([*base[:7], prose(60, 27)])), (5, ""), (6, None),
+    ])
+    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
+    assert found == {1: whole, 4: prose(60, 27), 5: "", 6: None}
+
+
+def test_line_shingles_are_characters():
+    for text in ("plain ascii line", "naïve café au lait", "漢字仮名交文漢字仮名", "字", "ab", "aé" * 30):
+        line = line_dedup.normal_line(text)
+        assert len(line_dedup.shingle_set(line)) == len({text[i : i + 8] for i in range(max(1, len(text) - 7))})
+    one, two = (line_dedup.shingle_set(line_dedup.normal_line(t)) for t in ("é the same tail", "e the same tail"))
+    assert line_dedup.jaccard(one, two) == 7 / 9
+
+
+def test_gradients_of_the_network_equal_differences():
+    r = np.random.default_rng(4)
+    network = gru.Network.start(r.normal(size=gru.WORD_BUCKETS), r.normal(size=gru.GRAM_BUCKETS), 1)
+    # Differences need more digits than the network is trained with.
+    network.weights = {k: x.astype(float) for k, x in network.weights.items()}
+    words = gru.hashed_words(["ab", "idiot", "c", "hello", "wörld"])
+    index, lengths, labels = np.array([[0, 1, 2, 3], [4, 1, 0, 0], [2, 2, 3, 1]]), np.array([4, 2, 3]), np.array([1, 0, 1])
+
+    def loss():
+        logits = network.run(network.gates(network.word_inputs(*words)), index, lengths)
+        return np.mean(np.logaddexp(0, logits) - labels * logits)
+
+    found = network.gradients(words, index, lengths, labels)
+    for name, values in network.weights.items():
+        places = np.argwhere(found[name] != 0) if name in ("words", "grams") else np.argwhere(np.ones(values.shape))
+        for at in map(tuple, places[r.permutation(len(places))[:12]]):
+            kept, losses = values[at], []
+            for step in (1e-2, -1e-2):
+                values[at] = kept + step
+                losses.append(loss())
+            values[at] = kept
+            assert (losses[0] - losses[1]) / 2e-2 == pytest.approx(found[name][at], abs=2e-4, rel=2e-2), (name, at)
+
+
+def test_marginals_equal_all_labellings():
+    r = np.random.default_rng(6)
+    lengths = np.array([3, 1, 5, 2])
+    scores, links = r.normal(size=lengths.sum()) * 2, r.normal(size=(2, 2))
+    good, pairs = crf.marginals(scores, links, crf.Chains(lengths))
+    expected_pairs, at = np.zeros((2, 2)), 0
+    for n in lengths:
+        weight, chance, seen = 0.0, np.zeros(n), np.zeros((2, 2))
+        for labels in itertools.product((0, 1), repeat=int(n)):
+            w = np.exp(sum(scores[at + i] for i, y in enumerate(labels) if y) + sum(links[a, b] for a, b in zip(labels, labels[1:])))
+            weight += w
+            chance += w * np.array(labels)
+            for a, b in zip(labels, labels[1:]):
+                seen[a, b] += w
+        assert good[at : at + n] == pytest.approx(chance / weight)
+        expected_pairs += seen / weight
+        at += n
+    assert pairs == pytest.approx(expected_pairs)
