@@ -41,6 +41,22 @@ def vector_values(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame
     return values.withColumns(columns).drop("__values", vector)
 
 
+def sparse_entries(df: DataFrame, vector: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, position, value, width): a row per entry of a vector that is not zero.
+
+    The stored places and values are read as they are; a sparse vector is never spread out to its
+    width, so rows cost what they hold.
+    """
+    stored = F.unwrap_udt(quoted(vector))
+    sparse = F.arrays_zip(stored["indices"].alias("position"), stored["values"].alias("value"))
+    dense = F.transform(stored["values"], lambda x, i: F.struct(i.alias("position"), x.alias("value")))
+    is_sparse = stored["type"] == 0
+    entries = F.when(is_sparse, sparse).otherwise(dense)
+    width = F.when(is_sparse, stored["size"]).otherwise(F.size(stored["values"])).cast("long")
+    rows = df.select(*[quoted(c) for c in keep], width.alias("width"), F.inline(entries))
+    return rows.filter("value <> 0").select(*[quoted(c) for c in keep], "position", "value", "width")
+
+
 def _spread(x: Column, population: bool) -> Column:
     return F.stddev_pop(x) if population else F.stddev_samp(x)
 

@@ -214,7 +214,8 @@ def _attach_long(df: DataFrame, lookups: Sequence[Lookup], row: str | None) -> D
 def _counted(df: DataFrame, key: Column, table: KeyTable) -> KeyTable:
     """``table`` with the rows of each key in ``df``; keys it lacks are added without values."""
     seen = df.groupBy(key.alias("seen")).agg(F.count(F.lit(1)).alias("n_seen"))
-    rows = table.rows.drop("n").join(seen, F.col("key") == F.col("seen"), "full")
+    # A null key of the table and the rows without a key are one key.
+    rows = table.rows.drop("n").join(seen, F.col("key").eqNullSafe(F.col("seen")), "full")
     counted = rows.select(
         F.coalesce("key", "seen").alias("key"), F.coalesce("n_seen", F.lit(0)).alias("n"), *table.payload
     )

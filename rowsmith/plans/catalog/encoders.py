@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from rowsmith.operators.encode import FrequencyEncoder, LabelIndexer, one_hot, one_hot_vectors
-from rowsmith.operators.features import vector_values
+from rowsmith.operators.encode import FrequencyEncoder, LabelIndexer, encode_all, one_hot, one_hot_vectors
+from rowsmith.operators.features import sparse_entries, vector_values
 from rowsmith.operators.lookup import KeyTable, attach
 from rowsmith.plans.catalog.registry import query, table
 from rowsmith.sources.generated import literal_rows
@@ -83,6 +82,55 @@ def frequency_encode_hot_key_nulls(spark, folder):
     return FrequencyEncoder.fit(rows, ["customer"], "count", broadcast_bytes=0).transform(rows)
 
 
+SIX_KEYS = {
+    "part": "l_partkey", "supplier": "l_suppkey", "ship_day": "l_shipdate", "price": "l_extendedprice",
+    "order": "case when l_orderkey % 3 = 0 then 7 else l_orderkey end", "mark": "nullif(l_returnflag, 'A')",
+}
+_SIX = ", ".join(f'{value} as "{name}"' for name, value in SIX_KEYS.items())
+
+
+def _six_keys(spark, folder):
+    """Line items with six keys; one value holds a third of the orders, and a third of the marks is null."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_quantity", *[f"{value} as `{name}`" for name, value in SIX_KEYS.items()]
+    )
+
+
+@query(
+    "frequency_encode_six_large",
+    f"""with planted as (select l_orderkey, l_linenumber, l_quantity, {_SIX} from lineitem)
+    select l_orderkey, l_linenumber, l_quantity, """
+    + ", ".join(
+        f'case when "{name}" is not null then count(*) over (partition by "{name}") end as "{name}_freq"' for name in SIX_KEYS
+    )
+    + " from planted",
+)
+def frequency_encode_six_large(spark, folder):
+    """None of the six tables of counts is broadcast: they are joined at once."""
+    rows = _six_keys(spark, folder)
+    return FrequencyEncoder.fit(rows, list(SIX_KEYS), broadcast_bytes=0).transform(rows)
+
+
+@query(
+    "encode_together_large",
+    f"""with planted as (select l_orderkey, l_linenumber, l_quantity, {_SIX} from lineitem),
+    suppliers as (select supplier, row_number() over (order by count(*) desc, supplier::varchar) - 1 as i
+                  from planted group by supplier),
+    marks as (select mark, row_number() over (order by count(*) desc, mark) - 1 as i
+              from planted where mark is not null group by mark)
+    select l_orderkey, l_linenumber, l_quantity, "part", ship_day, price, s.i::double as supplier_idx,
+           coalesce(m.i, (select count(*) from marks))::double as mark_idx,
+           count(*) over (partition by "order") as order_freq
+    from planted p join suppliers s on p.supplier = s.supplier left join marks m on p.mark = m.mark""",
+)
+def encode_together_large(spark, folder):
+    """An index of two columns and the frequencies of a third, with one set of joins."""
+    rows = _six_keys(spark, folder)
+    indexer = LabelIndexer.fit(rows, ["supplier", "mark"])
+    frequency = FrequencyEncoder.fit(rows, ["order"], "count")
+    return encode_all(rows, [indexer, frequency], broadcast_bytes=0)
+
+
 @query(
     "dictionary_lookup",
     """select o_orderkey, case o_orderpriority when '1-URGENT' then 1 when '2-HIGH' then 2
@@ -195,12 +243,6 @@ def one_hot_as_vectors(spark, folder):
 def one_hot_many(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     indexed = LabelIndexer.fit(rows, ["o_custkey"]).transform(rows)
-    vectors = one_hot_vectors(indexed, ["o_custkey_idx"]).select(
-        "o_orderkey", vector_to_array("o_custkey_idx_vec").alias("v")
-    )
-    return vectors.select(
-        "o_orderkey",
-        (F.array_position("v", 1.0) - 1).alias("position"),
-        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"),
-        F.size("v").cast("long").alias("width"),
-    )
+    vectors = one_hot_vectors(indexed, ["o_custkey_idx"])
+    entries = sparse_entries(vectors, "o_custkey_idx_vec", ["o_orderkey"])
+    return entries.select("o_orderkey", "position", F.col("value").alias("total"), "width")

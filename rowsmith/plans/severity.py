@@ -210,7 +210,11 @@ def run(
     With ``report`` also the seconds each model took to train and how many train and test rows
     were skipped because a feature was missing.
     """
-    table = features(accidents, options)
+    return evaluate(features(accidents, options), options, report)
+
+
+def evaluate(table: DataFrame, options: SeverityOptions = DEFAULTS, report: bool = False) -> DataFrame:
+    """``run`` from the written features on."""
     seconds: dict[str, float] = {}
     _, fitted, test = train_models(table, options, seconds)
     tables = [
