@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,18 +74,32 @@ def macro_f1(df: DataFrame, label: str, prediction: str = "prediction") -> DataF
     return classification_metrics(df, label, prediction).select("macro_f1")
 
 
-def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_bounds(df: DataFrame, score: str, ranges: int | None = None) -> list[float]:
+    """Scores that cut those of ``df`` into even ranges, by a mergeable sketch; as many as shuffle partitions."""
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.nanvl(quoted(score).cast("double"), F.lit(None).cast("double"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    kept = F.kll_sketch_agg_double(value, F.lit(min(65_535, max(200, 8 * ranges))))
+    found = df.agg(F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(kept, shares))).first()[0] if ranges > 1 else None
+    return sorted(set(found or []))
+
+
+def area_under_roc(df: DataFrame, label: str, score: str, bounds: Sequence[float] | None = None) -> DataFrame:
     """One row: the exact area under the ROC curve, ties counted half.
 
-    Equal scores are counted first. The scores are then cut into sorted ranges; inside a
-    range a running sum counts the negatives below each score, and one small row per
-    range carries the negatives of the ranges before it.
+    Equal scores are counted first. The scores are then cut into ranges at ``bounds``, those of
+    ``score_bounds`` unless given; inside a range a running sum counts the negatives below each
+    score, and one small row per range carries the negatives of the ranges before it. The bounds
+    decide the size of the tasks alone.
     """
+    bounds = score_bounds(df, score) if bounds is None else sorted(bounds)
     positive = quoted(label).cast("int") == 1
     counts = df.groupBy(quoted(score).alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    ranges = counts.repartitionByRange("score").withColumn("range", F.spark_partition_id())
+    cuts = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    # The ranges keep their place when they are shuffled, so the sums per range need no further shuffle.
+    ranges = counts.withColumn("range", F.size(F.filter(cuts, lambda b: b <= F.col("score"))))
     below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))
     wins = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)

@@ -1,12 +1,14 @@
 """Exact medians of several columns without bringing their values together.
 
-A column with few distinct values is ranked after one counting pass. For the others each pass
-counts what lies below, at the ends of and inside an open interval and sketches the inside on an
-even grid of ranks; the grid points around the wanted rank become the next, far narrower interval.
-A rank that falls on the block of equal values at an end is answered by that end, so a value that
-holds a large share of the rows never keeps an interval from shrinking. Counts are exact in every
-pass and the sketch decides the cost alone. A column whose interval stops shrinking is ranked in
-sorted ranges.
+The first pass counts the values of all columns and keeps one mergeable quantile sketch of each.
+Around the middle ranks the sketch gives a narrow open interval; a second pass counts exactly what
+lies below, at the ends of and inside it, for all columns at once. The third ranks what is inside:
+in one task per column if the values there are few, in sorted ranges if they are many. A column
+with few distinct values is ranked after the first pass.
+
+Counts are exact in every pass and the sketch decides the cost alone: an interval that misses the
+middle ranks is widened and counted again. A rank that falls on the block of equal values at an end
+is answered by that end, so a value that holds a large share of the rows does no harm.
 """
 
 from __future__ import annotations
@@ -23,9 +25,10 @@ from rowsmith.operators.columns import quoted
 from rowsmith.storage import materialize
 
 GRID = 1_000
-SKETCH_ACCURACY = 10 * GRID
+# The sketch's rank error is about 2.3 / k, well below the width of a cell of the grid.
+SKETCH_PER_CELL, SMALLEST_SKETCH, LARGEST_SKETCH = 8, 200, 65_535
 RANKED_VALUES = 100_000
-# Passes over the data per column; each good one divides the rows of the interval by hundreds.
+# Counting passes over the data: two, and one for each interval that missed.
 MAX_PASSES = 12
 
 
@@ -74,15 +77,16 @@ class Search:
         self.answers += [self.trial.low for r in self.pending if r < start]
         self.answers += [self.trial.high for r in self.pending if r >= end]
         self.pending = [r for r in self.pending if start <= r < end]
-        stuck = self.sketch is not None and counts["inside"] >= self.inside >= 0
+        narrowed = self.sketch is not None
         self.settled, self.below, self.inside = self.trial, start, counts["inside"]
         if not self.pending or counts["distinct"] <= ranked_values:
             return True
-        self.in_ranges = stuck
-        self.sketch = counts["sketch"]
-        if self.sketch is not None:
+        # What is left in a narrow interval is ranked in sorted ranges.
+        self.in_ranges = narrowed
+        if not narrowed:
+            self.sketch = counts["sketch"]
             self._aim()
-        return stuck
+        return narrowed
 
     def _aim(self) -> None:
         cells = len(self.sketch) - 1
@@ -114,9 +118,9 @@ def medians(
     far = {c: s for c, s in found.items() if s.pending and s.in_ranges}
     result = known
     if near:
-        result = result.union(_rank_inside(numbers, near))
-    for c, search in far.items():
-        result = result.union(_rank_in_ranges(numbers, c, search))
+        result = result.union(_ranked(numbers, near, _running_per_column))
+    if far:
+        result = result.union(_ranked(numbers, far, _running_in_ranges))
     return result
 
 
@@ -129,7 +133,7 @@ def _narrow(
         if not waiting:
             break
         counts = numbers.agg(
-            *[_counts(quoted(c), found[c].trial, grid if i else 0).alias(f"c{j}") for j, c in enumerate(waiting)]
+            *[_counts(quoted(c), found[c].trial, 0 if i else grid).alias(f"c{j}") for j, c in enumerate(waiting)]
         ).first()
         waiting = [c for j, c in enumerate(waiting) if not found[c].learn(counts[j], ranked_values)]
     for c in waiting:
@@ -141,8 +145,7 @@ def _counts(x: Column, trial: Interval, grid: int) -> Column:
     """Exact counts around a trial interval and, with a grid, the sketch of its inside."""
     inside = F.when(trial.holds(x), x)
     none = F.lit(0).cast("long")
-    shares = [i / grid for i in range(grid + 1)] if grid else []
-    sketch = F.percentile_approx(inside, shares, SKETCH_ACCURACY) if grid else F.lit(None).cast("array<double>")
+    sketch = _grid(inside, grid) if grid else F.lit(None).cast("array<double>")
     return F.struct(
         F.count(x).alias("n"),
         (none if trial.low is None else F.count_if(x < trial.low)).alias("below"),
@@ -154,7 +157,16 @@ def _counts(x: Column, trial: Interval, grid: int) -> Column:
     )
 
 
-def _rank_inside(numbers: DataFrame, searches: dict[str, Search]) -> DataFrame:
+def _grid(x: Column, grid: int) -> Column:
+    """Values at even ranks, by a mergeable sketch; null without values."""
+    k = min(LARGEST_SKETCH, max(SMALLEST_SKETCH, SKETCH_PER_CELL * grid))
+    shares = F.array(*[F.lit(i / grid) for i in range(grid + 1)])
+    kept = F.kll_sketch_agg_double(x, F.lit(k))
+    return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(kept, shares))
+
+
+def _ranked(numbers: DataFrame, searches: dict[str, Search], running) -> DataFrame:
+    """(feature, median) of columns whose middle ranks lie in a known interval, from one scan."""
     columns = list(searches)
     inside = numbers.select(
         *[F.when(s.settled.holds(quoted(c)), quoted(c)).alias(c) for c, s in searches.items()]
@@ -165,9 +177,6 @@ def _rank_inside(numbers: DataFrame, searches: dict[str, Search]) -> DataFrame:
         .groupBy("feature", "x")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_value = Window.partitionBy("feature").orderBy("x")
-    upto = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
-    running = counts.withColumn("upto", upto)
     targets = numbers.sparkSession.createDataFrame(
         [
             (c, s.pending[0] - s.below, s.pending[-1] - s.below, len(s.pending), float(sum(s.answers)))
@@ -178,7 +187,7 @@ def _rank_inside(numbers: DataFrame, searches: dict[str, Search]) -> DataFrame:
     # The target table has one row per column asked for.
     return (
         F.broadcast(targets)
-        .join(running, "feature", "left")
+        .join(running(counts), "feature", "left")
         .groupBy("feature", "wanted", "known")
         .agg(_value_at("first").alias("one"), _value_at("last").alias("two"))
         .select("feature", _median().alias("median"))
@@ -196,25 +205,22 @@ def _median() -> Column:
     return both / 2
 
 
-def _rank_in_ranges(numbers: DataFrame, column: str, search: Search) -> DataFrame:
-    """Rank the distinct values of one column side by side in sorted ranges."""
-    x = quoted(column)
-    counts = numbers.filter(search.settled.holds(x)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+def _running_per_column(counts: DataFrame) -> DataFrame:
+    """(feature, x, n, upto) for columns with few values left."""
+    by_value = Window.partitionBy("feature").orderBy("x")
+    return counts.withColumn("upto", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _running_in_ranges(counts: DataFrame) -> DataFrame:
+    """(feature, x, n, upto), the values of all columns side by side in sorted ranges."""
     ranges = materialize(
-        counts.repartitionByRange("x").withColumn("range", F.spark_partition_id()), "ranked_ranges"
-    )
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, and the number of ranges is a setting of the session.
-    starts = ranges.groupBy("range").agg(F.sum("n").alias("held")).select(
-        "range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start")
+        counts.repartitionByRange("feature", "x").withColumn("range", F.spark_partition_id()), "ranked_ranges"
     )
-    local = Window.partitionBy("range").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    running = ranges.withColumn("local", F.sum("n").over(local)).join(F.broadcast(starts), "range")
-    ranked = running.select("x", "n", (F.col("start") + F.col("local")).alias("upto")).withColumns(
-        {"first": F.lit(search.pending[0] - search.below), "last": F.lit(search.pending[-1] - search.below)}
-    )
-    return (
-        ranked.agg(_value_at("first").alias("one"), _value_at("last").alias("two"))
-        .withColumns({"wanted": F.lit(len(search.pending)), "known": F.lit(float(sum(search.answers)))})
-        .select(F.lit(column).alias("feature"), _median().alias("median"))
+    earlier = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per column and range, and the number of ranges is a setting of the session.
+    starts = ranges.groupBy("feature", "range").agg(F.sum("n").alias("held")).select(
+        "feature", "range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start")
     )
+    local = Window.partitionBy("feature", "range").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    running = ranges.withColumn("local", F.sum("n").over(local)).join(F.broadcast(starts), ["feature", "range"])
+    return running.select("feature", "x", "n", (F.col("start") + F.col("local")).alias("upto"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowsmith.operators import counts, missing, quantiles
+from rowsmith.operators import counts, missing, quantiles, sketches
 from rowsmith.plans.catalog.registry import query, table
+from rowsmith.storage import scratch_path
 
 
 @query(
@@ -196,3 +197,49 @@ def rows_with_class_weight(spark, folder):
 @query("row_count", "select count(*) as n_rows from lineitem")
 def row_count(spark, folder):
     return counts.row_count(table(spark, folder, "lineitem"))
+
+
+SKETCHED = ["l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag"]
+
+
+def _stored(spark, folder):
+    """Sketches of the line items per ship year: all years at once, then the last year once more."""
+    rows = table(spark, folder, "lineitem")
+    store = sketches.SketchStore(spark, scratch_path(spark, "sketches"))
+    year = F.year("l_shipdate")
+    store.add(rows, year, SKETCHED)
+    store.add(rows.filter(year == rows.agg(F.max(year)).scalar()), year, SKETCHED)
+    return store
+
+
+@query(
+    "stored_distinct_counts",
+    "select feature, n, 0::bigint as n_missing, true as is_near from ("
+    + " union all ".join(f"select '{c}' as feature, count({c}) as n from lineitem" for c in SKETCHED)
+    + ")",
+)
+def stored_distinct_counts(spark, folder):
+    """Merged sketches of the years against exact counts: within a twentieth."""
+    merged = _stored(spark, folder).counts()
+    exact = counts.distinct_counts(table(spark, folder, "lineitem"), SKETCHED).withColumnRenamed("n_distinct", "exact")
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return merged.join(exact, "feature").select("feature", "n", "n_missing", (off * 20 <= F.col("exact")).alias("is_near"))
+
+
+@query(
+    "stored_quantiles",
+    """select feature, share::double as share, true as is_near
+    from (values ('l_partkey'), ('l_extendedprice')) as f (feature), (values (0.1), (0.5), (0.9)) as s (share)""",
+)
+def stored_quantiles(spark, folder):
+    """Merged sketches of the years: at most a hundredth of the rows lie between a quantile and its estimate."""
+    found = _stored(spark, folder).quantiles([0.1, 0.5, 0.9])
+    long = table(spark, folder, "lineitem").select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("double").alias("x")) for c in SKETCHED[:2]]))
+    )
+    # Three rows per column are joined with all values.
+    beside = long.join(F.broadcast(found), F.col("of") == F.col("feature"))
+    upto, below = F.count_if(F.col("x") <= F.col("value")), F.count_if(F.col("x") < F.col("value"))
+    n, share = F.count(F.lit(1)), F.col("share")
+    near = (upto >= (share - 0.01) * n) & (below <= (share + 0.01) * n)
+    return beside.groupBy("feature", "share").agg(near.alias("is_near"))
