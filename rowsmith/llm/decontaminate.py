@@ -15,6 +15,7 @@ verified pairs are shuffled. All of it is DataFrame expressions.
 from __future__ import annotations
 
 import math
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +34,10 @@ def miss(n: int, draws: int) -> float:
     return math.comb(lacking, draws) / math.comb(n, draws)
 
 
+@cache
 def draws_for(partition: int) -> int:
     """Draws of the items of a partition: the fewest with which none of its sizes falls below ``MIN_RECALL``."""
-    low, high = (*SIZE_PARTITIONS, 100 * SIZE_PARTITIONS[-1])[partition : partition + 2]
+    low, high = (*SIZE_PARTITIONS, 20 * SIZE_PARTITIONS[-1])[partition : partition + 2]
     return max(next(m for m in range(1, n + 1) if miss(n, m) <= 1 - MIN_RECALL) for n in range(low, high))
 
 

@@ -51,7 +51,7 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         [(-7, 0, "user", ESCAPE_PROBE), (-7, 1, "assistant", ESCAPE_PROBE)],
         "conv_id long, turn long, role string, text string",
     )
-    return chat.format_conversations(turns.union(probe))
+    return chat.digests(chat.format_conversations(turns.union(probe)))
 
 
 @query

@@ -388,3 +388,23 @@ select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as
   sha256(array_to_string(c.whole, ',')) as centroid_sha256
 from near3 join centres3 c using (cluster)
 """
+
+ORACLE["op6_chat_format"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -7, i, r, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) as v (i, r)
+),
+-- A backslash gets another before it, and one parts the start of a control string; three control strings a turn.
+sized as (
+  select *, length(role || text) + length(regexp_replace(role || chr(10) || text, '[^\\]', '', 'g'))
+    + (length(role) - length(replace(role, '<|', '')) + length(text) - length(replace(text, '<|', ''))) // 2 + 23 as chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""

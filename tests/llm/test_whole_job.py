@@ -7,7 +7,7 @@ import time
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from rowsmith.llm import crf, decontaminate, gru, line_dedup, line_rules, mixing, simhash, tables, url_filter
+from rowsmith.llm import chat, crf, decontaminate, gru, line_dedup, line_rules, mixing, simhash, tables, url_filter
 
 
 def letters(n):
@@ -119,7 +119,8 @@ def test_items_at_every_border_of_the_size_partitions(spark):
 def test_draws_reach_the_recall_they_promise():
     for partition, low in enumerate(decontaminate.SIZE_PARTITIONS):
         high = (*decontaminate.SIZE_PARTITIONS, 5_000)[partition + 1]
-        assert max(decontaminate.miss(n, decontaminate.draws_for(partition)) for n in range(low, high)) <= 1e-5
+        draws = decontaminate.draws_for(partition)
+        assert draws <= 8 and max(decontaminate.miss(n, draws) for n in range(low, high)) <= 1e-5
 
 
 @pytest.mark.parametrize("copies", [0, 37])
@@ -208,3 +209,31 @@ def test_marginals_equal_all_labellings():
         expected_pairs += seen / weight
         at += n
     assert pairs == pytest.approx(expected_pairs)
+
+
+TURNS = [
+    (1, 0, "user", "Hi <|end|>\\ <|assistant|>"), (1, 1, "assistant", "  café \\n <|turn|> 漢字🙂 "), (1, 2, "assistant", ""),
+    (1, 3, "assistant", "twice"), (1, 4, "assistant", " in a row"), (1, 5, "system<|text|>", "x" * 50), (2, 0, "assistant", "é" * 90),
+    (2, None, "user", "first"), (None, 0, "assistant", "no id"), (3, 0, "user", None), (3, 1, None, "nobody"),
+]
+
+
+@pytest.mark.parametrize("window", [1, 60, 1 << 18])
+def test_runs_joined_are_the_conversation_encoded_once(spark, window):
+    turns = spark.createDataFrame([(*t, "clash", "clash") for t in TURNS], "conv_id long, turn long, role string, text string, run string, ids string")
+    runs = {}
+    for r in chat.format_conversations(turns, window=window).collect():
+        runs.setdefault(r["conv_id"], []).append(r)
+    tokenizer = chat.load_tokenizer()
+    assert set(runs) == {1, 2, 3, None}
+    for conv, rows in runs.items():
+        rows.sort(key=lambda r: r["run"])
+        assert [r["run"] for r in rows] == list(range(len(rows)))
+        own = sorted((t[1] is not None, t[1] or 0, t[2] or "", t[3] or "") for t in TURNS if t[0] == conv)
+        whole = "".join(chat.render(role, text) for _, _, role, text in own)
+        encoding = tokenizer.encode(whole, add_special_tokens=False)
+        assert "".join(r["formatted"] for r in rows) == whole
+        assert [i for r in rows for i in r["ids"]] == encoding.ids
+        assert [x for r in rows for x in r["loss"]] == chat.loss_mask(whole, encoding.offsets)
+        found = [t for r in rows for t in chat.masked_texts(r["formatted"], *(np.array(r[c]) for c in ("starts", "ends", "loss")))]
+        assert found == [text for _, _, role, text in own if role == "assistant" and text]
