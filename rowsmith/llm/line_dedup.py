@@ -9,8 +9,9 @@ full, tile by tile, without repeating what is connected already. The texts of me
 from the documents by their hashes. Accepted pairs go through distributed union-find, and of each
 component the first line is kept.
 
-A bucket of m lines costs m comparisons with its smallest line. Only buckets that this leaves in
-several parts cost more: each pair of their tiles is compared by one task.
+A bucket of m lines costs m comparisons with its smallest line. Buckets that this leaves in several
+parts are compared in full if they are small; large ones are first cut by the rarest shingles of their
+lines, so that lines which share no more than the band do not meet again.
 """
 
 from __future__ import annotations
@@ -351,17 +352,58 @@ def _further_links(members: DataFrame, star: DataFrame, text_of: DataFrame) -> D
         .filter("low_root <> high_root and members > 2")
         .groupBy("same", "same_too", "members")
         .agg(F.min("value").alias("value"))
-        .select("value", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
     )
-    open_ = rooted.join(mixed, "value")
+    scratch = Scratch(members.sparkSession)
+    open_, _ = scratch.write(rooted.join(mixed.select("value", "members"), "value").select("value", "node", "root", "members"), "open_buckets")
+    small, large = open_.filter(F.col("members") <= TILE), open_.filter(F.col("members") > TILE)
+    if not large.isEmpty():
+        parts, _ = scratch.write(_parted(large, text_of), "open_buckets")
+        sizes = parts.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("a"), F.max("root").alias("b"))
+        small = small.union(parts.join(sizes.filter("a <> b"), "value").select("value", "node", "root", "members"))
+    tiled = small.withColumn("tiles", F.ceil(F.col("members") / TILE).cast("int"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
-    rows = open_.select("value", "node", "root", F.lit(0).alias("side"), tile.alias("i"), F.explode(others).alias("j"))
-    columns = open_.select("value", "node", "root", F.lit(1).alias("side"), F.explode(others).alias("i"), tile.alias("j"))
+    rows = tiled.select("value", "node", "root", F.lit(0).alias("side"), tile.alias("i"), F.explode(others).alias("j"))
+    columns = tiled.select("value", "node", "root", F.lit(1).alias("side"), F.explode(others).alias("i"), tile.alias("j"))
     tiles = rows.filter("i <= j").union(columns.filter("i < j")).join(text_of, "node")
     return tiles.groupBy("value", "i", "j").applyInArrow(_connect, "a long, b long")
 
 
+def _parted(large: DataFrame, text_of: DataFrame) -> DataFrame:
+    """(value, node, root): large buckets cut into parts such that similar lines share one.
+
+    Of two lines with a similarity of at least 4/5, both hold one of the rarest fifth, and one
+    more, of their own shingles in common, whatever the order, if it is the same for all lines of
+    the bucket. Here it is how few lines of the bucket have the shingle. So a line goes to a part
+    per rare shingle, and lines that share only what is common in the bucket do not meet.
+    """
+    lines = large.join(text_of, "node").select("value", "node", "root", "line")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(line).view(np.int64) for line in batch.column(3).to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+            shingles_of = pa.array(np.concatenate([np.empty(0, np.int64), *sets]))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i).take(at) for i in range(3)], shingles_of], ["value", "node", "root", "shingle"]
+            )
+
+    each = lines.mapInArrow(run, "value long, node long, root long, shingle long")
+    # Shingles that lie in one connected part of the bucket link nothing new.
+    counts = each.groupBy("value", "shingle").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("links")
+    )
+    ranked = (
+        each.join(counts, ["value", "shingle"])
+        .groupBy("value", "node", "root")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "shingle", "links"))).alias("all"))
+    )
+    size = F.size("all")
+    rarest = F.slice("all", 1, size - F.ceil(size * 4 / 5).cast("int") + 1)
+    kept = ranked.select("value", "node", "root", F.explode(rarest).alias("s")).filter("s.links")
+    return kept.select(F.xxhash64("value", "s.shingle").alias("value"), "node", "root")
+
+
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line, first_doc, first_line, kept): all lines that are not alone in their class.
 

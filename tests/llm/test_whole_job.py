@@ -237,3 +237,46 @@ def test_runs_joined_are_the_conversation_encoded_once(spark, window):
         assert [x for r in rows for x in r["loss"]] == chat.loss_mask(whole, encoding.offsets)
         found = [t for r in rows for t in chat.masked_texts(r["formatted"], *(np.array(r[c]) for c in ("starts", "ends", "loss")))]
         assert found == [text for _, _, role, text in own if role == "assistant" and text]
+
+
+def test_a_hot_band_is_cut_by_rare_shingles(spark, monkeypatch):
+    """Lines of one bucket that its smallest line does not connect: no link is lost, and few lines meet."""
+    monkeypatch.setattr(line_dedup, "TILE", 64)
+    r = random.Random(8)
+    shared = "this passage stands in every line of the bucket"
+    lines = [f"{shared} {prose(i, 12)}" for i in range(1_500)]
+    for i in range(0, 1_500, 10):  # near copies in pairs and chains
+        words = lines[i].split()
+        words[r.randrange(9, len(words))] = "changed"
+        lines[i + 1] = " ".join(words)
+        if i % 50 == 0:
+            words[r.randrange(9, len(words))] = "again"
+            lines[i + 2] = " ".join(words)
+    encoded = [line_dedup.normal_line(x) for x in lines]
+    text_of = spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(encoded)], "node long, line binary")
+    members = spark.createDataFrame([(7, 0, i) for i in range(len(lines))], "value long, head long, node long")
+    star = spark.createDataFrame([(1, 0), (0, 0)], "node long, component long")
+    met = []
+    parted = line_dedup._parted
+    monkeypatch.setattr(line_dedup, "_parted", lambda *x: met.append(parted(*x)) or met[0])
+    found = line_dedup._further_links(members, star, text_of).collect()
+    sets = [line_dedup.shingle_set(x) for x in encoded]
+    near = [(i, j) for i in range(len(lines)) for j in range(i + 1, min(i + 12, len(lines))) if line_dedup.jaccard(sets[i], sets[j]) >= 0.8]
+    label = list(range(len(lines)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    def classes(pairs):
+        label[:] = range(len(lines))
+        for a, b in pairs:
+            one, two = sorted((find(a), find(b)))
+            label[two] = one
+        return [find(i) for i in range(len(lines))]
+
+    assert len(near) > 150
+    assert classes([(0, 1), *[(a, b) for a, b in found]]) == classes([(0, 1), *near])
+    # Without the cut each of 1,500 lines would go to 24 tiles.
+    assert met[0].count() < 6 * len(lines)
