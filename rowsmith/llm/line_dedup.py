@@ -39,7 +39,7 @@ from rowsmith.llm.tables import (
 )
 
 SIMILARITY = 0.8
-#: Characters per shingle. Eight of ASCII fill one 64-bit number exactly; others are hashed to one.
+#: Characters per shingle. Eight below 256 fill one 64-bit number exactly; others are hashed to one.
 SHINGLE_CHARS = 8
 _FILL = 0x110000  # no character; fills shorter lines, which are one shingle
 BANDS = 9
@@ -66,29 +66,35 @@ def _multipliers() -> np.ndarray:
 
 
 def _points(line: bytes) -> np.ndarray:
-    """Characters of a normalised line as numbers, filled up to one shingle."""
-    if line.isascii():
-        found = np.frombuffer(line, np.uint8)
-    else:
-        found = np.frombuffer(line.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
-    if len(found) < SHINGLE_CHARS:
-        found = np.concatenate([found, np.full(SHINGLE_CHARS - len(found), _FILL)]).astype(np.uint32)
-    return found
+    """Characters of a normalised line as numbers, filled up to one shingle; in bytes if all are below 256."""
+    if not line.isascii():
+        text = line.decode("utf-8", "surrogatepass")
+        try:
+            line = text.encode("latin-1")
+        except UnicodeEncodeError:
+            found = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+            return np.concatenate([found, np.full(max(0, SHINGLE_CHARS - len(found)), _FILL, np.uint32)])
+    if len(line) < SHINGLE_CHARS:
+        return np.concatenate([np.frombuffer(line, np.uint8), np.full(SHINGLE_CHARS - len(line), _FILL, np.uint32)])
+    return np.frombuffer(line, np.uint8)
 
 
 def shingles(points: np.ndarray) -> np.ndarray:
-    """The shingle from each place on, as a number; places near the end have none."""
-    if points.dtype == np.uint8:
-        windows = np.lib.stride_tricks.sliding_window_view(points, SHINGLE_CHARS)
-        return np.ascontiguousarray(windows).view("<u8").ravel()
+    """The shingle from each place on, as a number; places near the end have none.
+
+    Eight characters below 256 are their bytes; others are hashed.
+    """
     n = len(points) - SHINGLE_CHARS + 1
+    if points.dtype == np.uint8:
+        # A number from each byte on.
+        return np.ndarray((n,), "<u8", np.ascontiguousarray(points), 0, (1,)).copy()
     exact, hashed, wide = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, bool)
     for i in range(SHINGLE_CHARS):
         part = points[i : i + n].astype(np.uint64)
         exact |= part << np.uint64(8 * i)
         hashed = (hashed ^ part) * np.uint64(0xD6E8FEB86659FD93)
         hashed ^= hashed >> np.uint64(32)
-        wide |= part >= 128
+        wide |= part >= 256
     return np.where(wide, hashed, exact)
 
 
@@ -113,19 +119,30 @@ def _mixed(numbers: np.ndarray) -> np.ndarray:
 def signatures(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
     """A 64-bit hash per line and band."""
     points = [_points(line) for line in lines]
+    found = np.empty((len(lines), BANDS), np.uint64)
+    # Lines in bytes and those with wider characters apart, each kind in one array.
+    in_bytes = np.array([p.dtype == np.uint8 for p in points], bool)
+    for kind in (in_bytes, ~in_bytes):
+        at = np.flatnonzero(kind)
+        if len(at):
+            found[at] = _band_hashes([points[i] for i in at], multipliers)
+    return found
+
+
+def _band_hashes(points: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
     lengths = np.fromiter(map(len, points), np.int64, len(points))
     ends = np.cumsum(lengths)
     low = _mixed(shingles(np.concatenate(points)))
     # The shingles of a line, then those that reach into the next line, which are left out.
     cuts = np.stack([ends - lengths, ends - SHINGLE_CHARS + 1], axis=1).ravel()[:-1]
-    minima = np.empty((len(multipliers), len(lines)), np.uint64)
+    minima = np.empty((len(multipliers), len(points)), np.uint64)
     mixed = np.empty_like(low)
     for k, m in enumerate(multipliers):
         np.multiply(low, m, out=mixed)
         minima[k] = np.minimum.reduceat(mixed, cuts)[::2]
-    bands = np.empty((BANDS, len(lines)), np.uint64)
+    bands = np.empty((BANDS, len(points)), np.uint64)
     for b in range(BANDS):
-        value = np.full(len(lines), b + 1, np.uint64)
+        value = np.full(len(points), b + 1, np.uint64)
         for k in range(b * ROWS, (b + 1) * ROWS):
             value = (value ^ minima[k]) * np.uint64(0x9E3779B97F4A7C15)
             value ^= value >> np.uint64(29)
@@ -145,7 +162,11 @@ def similar_pairs(rows: list[bytes], columns: list[bytes] | None = None) -> np.n
     sets = [shingle_set(line) for line in (*rows, *(columns or []))]
     sizes = np.array([len(x) for x in sets], np.float32)
     owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
-    numbers, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    numbers, flat, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # A shingle of one line is common to none.
+    twice = held > 1
+    owner, flat = owner[twice[flat]], (np.cumsum(twice) - 1)[flat[twice[flat]]]
+    numbers = numbers[twice]
     n = len(rows)
     first, second = slice(0, n), slice(n if columns else 0, None)
     common = np.zeros((n, len(sizes[second])), np.float32)
@@ -162,12 +183,13 @@ def _normal_lines(texts: list[str | None]) -> tuple[list[int], list[int], list[b
     """Rows, places, lines and 128-bit hashes of the normalised lines that have a word."""
     rows, places, lines = [], [], []
     for row, value in enumerate(texts):
-        for place, raw in enumerate((value or "").split("\n")):
-            line = normal_line(raw)
-            if line:
+        # The case of a letter does not depend on other lines, so a text is lower-cased at once.
+        for place, raw in enumerate((value or "").lower().split("\n")):
+            words = raw.split()
+            if words:
                 rows.append(row)
                 places.append(place)
-                lines.append(line)
+                lines.append(" ".join(words).encode("utf-8", "surrogatepass"))
     digests = b"".join(xxhash.xxh3_128_digest(x) for x in lines)
     return rows, places, lines, np.frombuffer(digests, np.int64).reshape(-1, 2)
 
@@ -185,23 +207,17 @@ def _bands_of(lines: list[bytes], multipliers: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
-def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bands: bool = False) -> DataFrame:
-    """(doc_id, place, high, low, bands): normalised lines with their 128-bit hash; none without words.
-
-    The bands are null unless asked for.
-    """
+def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, place, high, low, bands): normalised lines with their 128-bit hash; none without words."""
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     multipliers = _multipliers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, lines, digests = _normal_lines(batch.column(1).to_pylist())
-            if with_bands:
-                first, at = _firsts(digests)
-                bands = _bands_of([lines[i] for i in first], multipliers)[at].ravel()
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands))
-            else:
-                lists = pa.nulls(len(lines), pa.list_(pa.int64()))
+            first, at = _firsts(digests)
+            bands = _bands_of([lines[i] for i in first], multipliers)[at].ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()),
@@ -216,8 +232,9 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_b
 
 def _firsts(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the different hashes, and for each hash which of them it equals."""
-    if not len(digests):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, at = np.unique(digests[:, 0], return_index=True, return_inverse=True)
+    if (digests[first[at], 1] == digests[:, 1]).all():
+        return first, at
     pairs = np.ascontiguousarray(digests).view([("high", np.int64), ("low", np.int64)]).ravel()
     _, first, at = np.unique(pairs, return_index=True, return_inverse=True)
     return first, at
@@ -260,13 +277,19 @@ def _members(known: DataFrame, heads: DataFrame) -> DataFrame:
 def _similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     heads: dict[int, np.ndarray] = {}
     for frame in frames:
-        good = []
-        for a, line_a, line_b in zip(frame["a"], frame["line_a"], frame["line_b"]):
+        # Rows come by b, so its set is made once.
+        good, last, own = [], None, None
+        for a, b, line_a, line_b in zip(*(frame[c].tolist() for c in ("a", "b", "line_a", "line_b"))):
             if a not in heads:
                 if len(heads) >= _HEADS:
                     heads.clear()
                 heads[a] = shingle_set(line_a)
-            good.append(jaccard(heads[a], shingle_set(line_b)) >= SIMILARITY)
+            if b != last:
+                last, own = b, shingle_set(line_b)
+            head = heads[a]
+            # Sets of too different sizes are not similar.
+            likely = min(len(head), len(own)) >= SIMILARITY * max(len(head), len(own)) - 1e-9
+            good.append(likely and jaccard(head, own) >= SIMILARITY)
         yield frame.loc[good, ["a", "b"]]
 
 
@@ -297,13 +320,13 @@ def _connect(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, Scratch]:
-    """First place per line that is not alone in its class, and the scratch that holds this table.
+def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, Scratch]:
+    """(lines of all documents, first place per line that is not alone in its class, what holds both).
 
-    The table has (high, low, first_doc, first_place).
+    The first table has (doc_id, place, high, low), the second (high, low, first_doc, first_place).
     """
     scratch = Scratch(docs.sparkSession)
-    found = lines_of(docs, doc_id, text, with_bands=True)
+    found, lines_path = scratch.write(lines_of(docs, doc_id, text), "lines")
     first = F.min(F.struct("doc_id", "place")).alias("first")
     distinct = found.groupBy("high", "low").agg(first, F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands"))
     known, _ = scratch.write(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct_lines")
@@ -335,8 +358,8 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "high", "low", F.col("kept.doc_id").alias("first_doc"), F.col("kept.place").alias("first_place")
     )
     written, path = scratch.write(classes, "line_classes")
-    scratch.drop_all(but=[path])
-    return written, scratch
+    scratch.drop_all(but=[path, lines_path])
+    return found.select("doc_id", "place", "high", "low"), written, scratch
 
 
 def _further_links(members: DataFrame, star: DataFrame, text_of: DataFrame) -> DataFrame:
@@ -412,8 +435,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Rows that share an id count as one document with the lines of all of them. No documents:
     no rows.
     """
-    classes, _ = line_classes(docs, doc_id, text)
-    lines = lines_of(docs, doc_id, text).drop("bands")
+    lines, classes, _ = line_classes(docs, doc_id, text)
     kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     return lines.join(classes, ["high", "low"]).select(
         "doc_id", F.col("place").alias("line"), "first_doc", F.col("first_place").alias("first_line"), kept.alias("kept")
@@ -434,11 +456,10 @@ def deduplicated(
     scratch = Scratch(docs.sparkSession)
     rows, row = numbered(docs)
     keyed = keyed_by_row(rows, row, doc_id, text)
-    classes, of_classes = line_classes(keyed)
+    places, classes, of_classes = line_classes(keyed)
     kept = (F.col("doc_id") == F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     key, lines, before = fresh(rows, "__key"), fresh(rows, "__lines"), fresh(rows, "__before")
     # One row per document that loses a line, with at most as many numbers as it has lines.
-    places = lines_of(keyed).select("doc_id", "place", "high", "low")
     per_doc, _ = scratch.write(
         places.join(classes, ["high", "low"]).filter(~kept)
         .groupBy(F.struct("doc_id.file", "doc_id.at").alias(key)).agg(F.sort_array(F.collect_list("place")).alias(lines)),
@@ -446,7 +467,8 @@ def deduplicated(
     )
     of_classes.drop_all()
     changed = F.col(lines).isNotNull()
-    found = rows.join(per_doc, quoted(row) == F.col(key), "left").withColumns(
+    # Half of all documents may lose a line: the table grows with them and is never broadcast.
+    found = rows.join(per_doc.hint("merge"), quoted(row) == F.col(key), "left").withColumns(
         {before: F.when(changed, word_count(quoted(text))), text: F.when(changed, without_places(quoted(text), F.col(lines))).otherwise(quoted(text))}
     )
     if n_chars in docs.columns:
