@@ -10,8 +10,8 @@ from the documents by their hashes. Accepted pairs go through distributed union-
 component the first line is kept.
 
 A bucket of m lines costs m comparisons with its smallest line. Buckets that this leaves in several
-parts are compared in full if they are small; large ones are first cut by the rarest shingles of their
-lines, so that lines which share no more than the band do not meet again.
+parts are compared in full up to ``MAX_TILES`` tiles; larger ones are first cut by the rarest shingles
+of their lines, so that lines which share no more than the band do not meet again.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ _FILL = 0x110000  # no character; fills shorter lines, which are one shingle
 BANDS = 9
 ROWS = 4
 TILE = 512
+#: Buckets of more tiles are cut by shingles: a line then costs a row per shingle, not a copy per tile.
+MAX_TILES = 64
 #: A document with fewer of its words left goes: at least four fifths of it repeat other documents.
 MIN_LEFT_PERCENT = 20
 _CHUNK = 8_192  # shingles counted at once
@@ -378,7 +380,8 @@ def _further_links(members: DataFrame, star: DataFrame, text_of: DataFrame) -> D
     )
     scratch = Scratch(members.sparkSession)
     open_, _ = scratch.write(rooted.join(mixed.select("value", "members"), "value").select("value", "node", "root", "members"), "open_buckets")
-    small, large = open_.filter(F.col("members") <= TILE), open_.filter(F.col("members") > TILE)
+    bound = TILE * MAX_TILES
+    small, large = open_.filter(F.col("members") <= bound), open_.filter(F.col("members") > bound)
     if not large.isEmpty():
         parts, _ = scratch.write(_parted(large, text_of), "open_buckets")
         sizes = parts.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("a"), F.max("root").alias("b"))

@@ -242,6 +242,7 @@ def test_runs_joined_are_the_conversation_encoded_once(spark, window):
 def test_a_hot_band_is_cut_by_rare_shingles(spark, monkeypatch):
     """Lines of one bucket that its smallest line does not connect: no link is lost, and few lines meet."""
     monkeypatch.setattr(line_dedup, "TILE", 64)
+    monkeypatch.setattr(line_dedup, "MAX_TILES", 4)
     r = random.Random(8)
     shared = "this passage stands in every line of the bucket"
     lines = [f"{shared} {prose(i, 12)}" for i in range(1_500)]
