@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.fixed_values import BINARY_LOGISTIC_SETTINGS, FOREST_SETTINGS, LOGISTIC_SETTINGS
-from rowsmith.operators.columns import quoted
+from rowsmith.operators.columns import present, quoted
 from rowsmith.operators.features import assembler, scaler
+from rowsmith.storage import materialize_in_tasks
 
 RAW, SCALED = "features", "scaled_features"
 # Deep trees are grown from a stored node per row and not from the root each time; the
 # trees are the same.
 FOREST_EXECUTION = {"cacheNodeIds": True}
+# MLlib keeps the rows of a training task in memory: this many bytes a row, and eight a feature.
+ROW_BYTES, FEATURE_BYTES = 350, 8
+TASK_BYTES = 100_000_000
 
 
 def forest(label: str, weight: str | None = None, **settings) -> RandomForestClassifier:
@@ -53,6 +57,22 @@ def _with_weight(estimator, weight: str | None):
     return estimator.setWeightCol(weight) if weight else estimator
 
 
+def training_rows(
+    train: DataFrame, features: Sequence[str], others: Sequence[str], task_bytes: int | None = None
+) -> DataFrame:
+    """Features and ``others`` of all rows to train on, so dealt that no task keeps over ``task_bytes``.
+
+    A Parquet split of a few bytes a row becomes many times as much in memory, so rows are counted
+    and not bytes. Rows that fit one task stay as they are; more are written to files of that many.
+    """
+    names = present(train, features)
+    rows = max(1, (task_bytes or TASK_BYTES) // (ROW_BYTES + FEATURE_BYTES * len(names)))
+    if train.count() <= rows:
+        return train
+    kept = train.select(*[quoted(c) for c in dict.fromkeys([*names, *others])])
+    return materialize_in_tasks(kept, "training_rows", rows)
+
+
 def fit_preparation(
     train: DataFrame, features: Sequence[str], handle_invalid: str = "skip", population: bool = False
 ) -> PipelineModel:
@@ -76,6 +96,8 @@ def fit_model(
     train: DataFrame, features: Sequence[str], estimator: Estimator, handle_invalid: str = "skip"
 ) -> PipelineModel:
     """Assembler, scaler and model in one fitted pipeline."""
+    weight = [estimator.getWeightCol()] if estimator.isSet("weightCol") else []
+    train = training_rows(train, features, [estimator.getLabelCol(), *weight])
     stages = [assembler(train, features, RAW, handle_invalid), scaler(RAW, SCALED), estimator]
     return Pipeline(stages=stages).fit(train)
 

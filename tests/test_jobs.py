@@ -198,3 +198,23 @@ def test_area_of_saturated_scores(spark):
     area = metrics.area_under_roc(metrics.positive_score(df), "label", "score").first()[0]
     expected = BinaryClassificationEvaluator(labelCol="label", numBins=0).evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert area == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_no_training_task_keeps_all_rows(spark, monkeypatch, weight):
+    from rowsmith.operators import models
+
+    n = F.col("id")
+    df = spark.range(0, 1000, 1, 1).select((n % 10).cast("double").alias("x"), (n % 10 < 5).cast("int").alias("y"), F.lit(2.0).alias("w"))
+    assert models.training_rows(df, ["x"], ["y"]) is df
+    row_bytes = models.ROW_BYTES + models.FEATURE_BYTES
+    monkeypatch.setattr(models, "TASK_BYTES", 300 * row_bytes)
+    others = ["y", "w"] if weight else ["y"]
+    dealt = models.training_rows(df, ["x"], others)
+    assert sorted(dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) == [100, 300, 300, 300]
+    assert dealt.exceptAll(df.select("x", *others)).count() == 0
+    read = []
+    fit = models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: read.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    model = models.fit_model(df, ["x"], models.forest("y", weight, numTrees=2, maxDepth=2))
+    assert read == [4] and model.transform(df).filter("prediction = y").count() == 1000
