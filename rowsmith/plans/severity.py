@@ -185,6 +185,7 @@ def train_models(
     if options.class_weights:
         weight = "class_weight"
         train = with_class_weight(train, fixed.ACCIDENT_LABEL, weight)
+    train = models.training_rows(train, names, [fixed.ACCIDENT_LABEL, *([weight] if weight else [])])
     preparation = models.fit_preparation(train, names, population=options.scaling == "population")
     ready = preparation.transform(train)
     estimators = {

@@ -218,3 +218,16 @@ def test_no_training_task_keeps_all_rows(spark, monkeypatch, weight):
     monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: read.append(rows.rdd.getNumPartitions()) or fit(self, rows))
     model = models.fit_model(df, ["x"], models.forest("y", weight, numTrees=2, maxDepth=2))
     assert read == [4] and model.transform(df).filter("prediction = y").count() == 1000
+
+
+def test_severity_training_is_dealt_to_tasks(table, monkeypatch):
+    from rowsmith.operators import models
+
+    read = []
+    fit = models.Pipeline.fit
+    monkeypatch.setattr(models, "TASK_BYTES", 1000 * models.ROW_BYTES)
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: read.append(rows.rdd.glom().map(len).max()) or fit(self, rows))
+    options = severity.SeverityOptions(**SMALL_MODELS)
+    _, fitted, test = severity.train_models(table, options)
+    assert read[0] <= 1000 and set(fitted) == {"RandomForest", "LogisticRegression"}
+    assert test.count() + table.filter("split = 'train'").count() > 3000
