@@ -131,16 +131,15 @@ INTRUSIONS = f"""
     union all select 'all', part || '_rows', count(*)::double from marked group by part""",
 )
 def intrusion_job(spark, folder):
-    train, test = _intrusions(spark, folder)
-    found = intrusion.run(train, test).withColumn("value", F.round("value", 6))
-    cleaned = intrusion.clean(train)
-    model = intrusion.fit(cleaned)
-    written = materialize(intrusion.score(model, intrusion.clean(test)), "intrusion_scores")
+    train, test = (intrusion.prepared(part) for part in _intrusions(spark, folder))
+    found = intrusion.evaluate(train, test).withColumn("value", F.round("value", 6))
+    model = intrusion.fit(train)
+    written = materialize(intrusion.score(model, test), "intrusion_scores")
     attack = F.get("probability", F.lit(1))
     area = metrics.area_under_roc(written.withColumn("score", attack), "outcome", "score")
     of_model = {
         "auc_of_written_scores": area.select(F.round("auc", 6)),
-        "mean_train_probability": intrusion.score(model, cleaned).agg(F.round(F.avg(attack), 2)),
+        "mean_train_probability": intrusion.score(model, train).agg(F.round(F.avg(attack), 2)),
     }
     for name, row in of_model.items():
         found = found.unionByName(metrics.metric_table(row.toDF(name), "LogisticRegression"))
@@ -158,7 +157,7 @@ def intrusion_job(spark, folder):
 def intrusion_scores(spark, folder):
     """How often each outcome got each prediction, and how often with most of the probability."""
     train, test = _intrusions(spark, folder)
-    model = intrusion.fit(intrusion.clean(train), with_difficulty=True)
+    model = intrusion.fit(intrusion.prepared(train), with_difficulty=True)
     scored = intrusion.score(model, intrusion.clean(test))
     chance = F.get("probability", F.col("outcome").cast("int"))
     return scored.groupBy("outcome", "prediction").agg(

@@ -31,6 +31,11 @@ def clean(records: DataFrame) -> DataFrame:
     return cols.drop_columns(labelled, fixed.INTRUSION_TEXT)
 
 
+def prepared(records: DataFrame) -> DataFrame:
+    """The cleaned records, written once: what follows reads them several times."""
+    return materialize(clean(records), "intrusion_records")
+
+
 def feature_names(cleaned: DataFrame, with_difficulty: bool = False) -> list[str]:
     """Numeric columns. The difficulty score is known only with the outcome: off by default."""
     left_out = {fixed.INTRUSION_LABEL}
@@ -63,14 +68,22 @@ def run(
 ) -> DataFrame:
     """(model, metric, value): the ROC area of the raw score on the test records.
 
-    The cleaned train rows are written once: the scaler and the model both read them. With
-    ``report`` also the training time and how many test records were skipped.
+    With ``report`` also the training time and how many test records were skipped.
     """
-    cleaned = materialize(clean(train), "intrusion_train")
+    return evaluate(prepared(train), prepared(test), with_difficulty, handle_invalid, report)
+
+
+def evaluate(
+    cleaned: DataFrame,
+    records: DataFrame,
+    with_difficulty: bool = False,
+    handle_invalid: str = "error",
+    report: bool = False,
+) -> DataFrame:
+    """``run`` from the prepared train and test records on."""
     started = time.monotonic()
     model = fit(cleaned, with_difficulty, handle_invalid)
     seconds = time.monotonic() - started
-    records = clean(test)
     predictions = metrics.positive_score(model.transform(records))
     area = metrics.metric_table(
         metrics.area_under_roc(predictions, fixed.INTRUSION_LABEL, "score"), "LogisticRegression"

@@ -231,3 +231,19 @@ def test_severity_training_is_dealt_to_tasks(table, monkeypatch):
     _, fitted, test = severity.train_models(table, options)
     assert read[0] <= 1000 and set(fitted) == {"RandomForest", "LogisticRegression"}
     assert test.count() + table.filter("split = 'train'").count() > 3000
+
+
+def test_intrusion_files_are_parsed_once(spark, tmp_path):
+    from rowsmith.plans.catalog import ENTRIES
+
+    n = F.col("id")
+    orders = spark.range(1, 401).select(
+        n.alias("o_orderkey"), (n % 37).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        (n * 1250).cast("double").alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = ENTRIES["intrusion_job"].run(spark, str(tmp_path))
+    assert "Scan csv" not in found._jdf.queryExecution().executedPlan().toString()
+    values = {r["metric"]: r["value"] for r in found.collect()}
+    assert values["auc"] == values["auc_of_written_scores"] == 1.0
+    assert values["train_rows"] + values["test_rows"] == 400
