@@ -220,9 +220,10 @@ def test_no_training_task_keeps_all_rows(spark, monkeypatch, weight):
     assert read == [4] and model.transform(df).filter("prediction = y").count() == 1000
 
 
-def test_severity_training_is_dealt_to_tasks(table, monkeypatch):
+def test_severity_training_is_dealt_to_tasks(accidents, monkeypatch):
     from rowsmith.operators import models
 
+    table = severity.features(accidents)
     read = []
     fit = models.Pipeline.fit
     monkeypatch.setattr(models, "TASK_BYTES", 1000 * models.ROW_BYTES)
