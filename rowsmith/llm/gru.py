@@ -93,8 +93,13 @@ class Network:
 
     def gates(self, inputs: np.ndarray) -> np.ndarray:
         """What a word adds to the gates of both passes; enough to run the network."""
-        w = self.weights
-        return np.concatenate([inputs @ w["xf"] + w["if"], inputs @ w["xb"] + w["ib"]], axis=1)
+        found = np.empty((len(inputs), 6 * STATE), np.result_type(inputs, self.weights["xf"]))
+        # One half at a time, as the words of a whole sample make large ones.
+        for side, half in (("f", found[:, : 3 * STATE]), ("b", found[:, 3 * STATE :])):
+            own = inputs @ self.weights[f"x{side}"]
+            own += self.weights[f"i{side}"]
+            half[:] = own
+        return found
 
     def _pass(self, gates: np.ndarray, mask: np.ndarray, side: str, memory: list | None) -> np.ndarray:
         """States per step; ``gates`` is (steps, windows, 3 * STATE) in the order of reading."""

@@ -153,8 +153,10 @@ class Corpus:
             np.array([place.setdefault(w, len(place)) for w in words_of(t)], np.int32) for t in texts
         ]
         words = list(place)
-        parts = [hashed_words(words[at : at + _WORDS]) for at in range(0, len(words), _WORDS)]
-        return cls(rows, labels, *[np.concatenate([p[k].astype(np.int32) for p in parts]) for k in range(3)])
+        parts = [
+            [x.astype(np.int32) for x in hashed_words(words[at : at + _WORDS])] for at in range(0, len(words), _WORDS)
+        ]
+        return cls(rows, labels, *[np.concatenate([p[k] for p in parts]) for k in range(3)])
 
     def __post_init__(self):
         self.starts = np.cumsum(self.counts, dtype=np.int64) - self.counts

@@ -3,6 +3,7 @@
 import itertools
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -281,3 +282,22 @@ def test_a_hot_band_is_cut_by_rare_shingles(spark, monkeypatch):
     assert classes([(0, 1), *[(a, b) for a, b in found]]) == classes([(0, 1), *near])
     # Without the cut each of 1,500 lines would go to 24 tiles.
     assert met[0].count() < 6 * len(lines)
+
+
+def test_a_slot_set_comes_to_the_driver_as_bytes(spark):
+    rows = spark.range(0, 400_000, 1, 8).select(F.xxhash64("id").alias("number"))
+    numbers = rows.toPandas()["number"].to_numpy()
+    tracemalloc.start()
+    found = tables.slot_set(rows, "number")
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # The set itself takes 16 MB; rows of Python numbers would take far more than the rest.
+    assert peak < 40e6
+    expected = np.zeros(1 << (tables.SLOT_BITS - 6), np.int64)
+    np.bitwise_or.at(expected, (numbers >> 6) & (len(expected) - 1), np.int64(1) << (numbers & 63))
+    assert (found == expected).all()
+    assert tables.in_slots(found, numbers).all()
+
+
+def test_a_slot_set_of_nothing_is_empty(spark):
+    assert not tables.slot_set(spark.range(0).select(F.col("id").alias("number")), "number").any()
